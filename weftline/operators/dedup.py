@@ -11,24 +11,32 @@ from pyspark.sql import functions as F
 from weftline.functions.text import text_hash
 
 
-def dedup_exact(
-    df: DataFrame, order: str | Sequence[str], text: str = "text", keep_hash: str | None = None
+def first_of_hash(
+    df: DataFrame, hash_column: str, order: Sequence[str]
 ) -> DataFrame:
-    """Keep the first row of every distinct text in the given order.
+    """The first row of every hash in the given order.
 
     Spark limits each group to its first row before the shuffle as well as after it
     (``WindowGroupLimit``), so a text copied into a third of the table sends one row
     per input task.
     """
-    order = [order] if isinstance(order, str) else list(order)
-    first = W.partitionBy("_hash").orderBy(*order)
-    kept = (
-        df.withColumn("_hash", text_hash(F.col(text)))
-        .withColumn("_rn", F.row_number().over(first))
-        .filter("_rn = 1")
-        .drop("_rn")
+    first = W.partitionBy(hash_column).orderBy(*order)
+    return (
+        df.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
     )
-    return kept.withColumnRenamed("_hash", keep_hash) if keep_hash else kept.drop("_hash")
+
+
+def dedup_exact(
+    df: DataFrame,
+    order: str | Sequence[str],
+    text: str = "text",
+    keep_hash: str | None = None,
+) -> DataFrame:
+    """Keep the first row of every distinct text in the given order."""
+    order = [order] if isinstance(order, str) else list(order)
+    name = keep_hash or "_hash"
+    kept = first_of_hash(df.withColumn(name, text_hash(F.col(text))), name, order)
+    return kept if keep_hash else kept.drop(name)
 
 
 def hashes(df: DataFrame, text: str = "text") -> DataFrame:

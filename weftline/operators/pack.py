@@ -73,9 +73,10 @@ def _batch_pieces(narrow: DataFrame, batch_docs: int) -> DataFrame:
     )
 
 
-def _place(base: DataFrame, batch_docs: int | None, tail: int) -> DataFrame:
+def _place(
+    base: DataFrame, narrow: DataFrame, batch_docs: int | None, tail: int
+) -> DataFrame:
     """Add to each document its segment, its token range there and its piece's range."""
-    narrow = base.select("_bucket", "_key", "_n")
     if batch_docs:
         pieces = _batch_pieces(narrow, batch_docs)
     else:
@@ -128,11 +129,16 @@ def _pack(
     tail: int,
     bucket: Column | None,
     rows: int,
+    sizes: DataFrame | None,
 ) -> DataFrame:
-    base = with_bucket(df, key, (), bucket, rows).withColumns(
-        {"_key": F.col(key), "_n": tokens.count().cast("bigint")}
-    )
-    docs = _place(base, batch_docs, tail)
+    def keyed(rows_in: DataFrame) -> DataFrame:
+        return with_bucket(rows_in, key, (), bucket, rows).withColumns(
+            {"_key": F.col(key), "_n": tokens.count().cast("bigint")}
+        )
+
+    base = keyed(df)
+    narrow = base if sizes is None else keyed(sizes)
+    docs = _place(base, narrow.select("_bucket", "_key", "_n"), batch_docs, tail)
     start, stop, total = F.col("_start"), F.col("_stop"), F.col("_total")
 
     blocks = F.when(total >= length, div(total - length, stride) + 1).otherwise(
@@ -194,16 +200,19 @@ def pack_batches(
     drop_short: bool = False,
     bucket: Column | None = None,
     rows: int = BUCKET_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Pack every ``batch_docs`` consecutive documents on their own.
 
     The tail of a batch shorter than ``length`` is dropped. A batch that has fewer
     than ``length`` tokens in all gives one short row, unless ``drop_short``.
 
-    Returns ``(batch_id, block, input_ids, labels)``.
+    ``sizes`` may name a table with the same keys that counts tokens more cheaply than
+    ``df``. Returns ``(batch_id, block, input_ids, labels)``.
     """
     packed = _pack(
-        df, tokens, key, length, length, batch_docs, not drop_short, 0, bucket, rows
+        df, tokens, key, length, length, batch_docs, not drop_short, 0, bucket, rows,
+        sizes,
     )
     return packed.select(
         F.col("segment").alias("batch_id"),
@@ -221,6 +230,7 @@ def pack_corpus(
     stride: int | None = None,
     bucket: Column | None = None,
     rows: int = BUCKET_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Windows of ``length`` at step ``stride`` over all documents in key order.
 
@@ -239,6 +249,7 @@ def pack_corpus(
         int(tokens.end is not None),
         bucket,
         rows,
+        sizes,
     )
     return packed.select(
         F.col("block").alias("seq_id"),

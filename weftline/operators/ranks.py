@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from weftline.session import materialize
 
-BUCKET_ROWS = 1024
+BUCKET_ROWS = 256
 FANOUT = 4096
 
 

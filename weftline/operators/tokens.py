@@ -81,10 +81,15 @@ class ByteTokens(Tokens):
     what moving the text costs.
     """
 
-    def __init__(self, text: Column, end: int | None = EOS):
-        self.text, self.end = text, end
+    def __init__(
+        self, text: Column, end: int | None = EOS, size: Column | None = None
+    ):
+        """``size`` is the token count, for rows that already carry it."""
+        self.text, self.end, self.size = text, end, size
 
     def count(self) -> Column:
+        if self.size is not None:
+            return self.size
         return byte_count(self.text, self.end is not None)
 
     def per_block(self, numbers, part):
