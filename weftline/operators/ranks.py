@@ -189,20 +189,25 @@ def dense_position(
 
     Range partitions follow the data (sampled), so one path or one value that holds
     a third of the rows is spread like any other. The cut points are sampled anew at
-    each run, hence the partition numbers are written down before they are counted.
-    The order must have no ties.
+    each run, hence each row's partition and place in it are written down before the
+    partitions are counted. The rows are shuffled once. Ties are put in some order, which
+    then stays.
     """
-    placed = df.repartitionByRange(*order).withColumn(
-        "_bucket", F.spark_partition_id().cast("bigint")
+    # the id is the partition number above 33 bits of the place in the partition
+    placed = (
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_id", F.monotonically_increasing_id())
+    )
+    placed = materialize(placed, "position").withColumns(
+        {
+            "_bucket": F.shiftright("_id", 33),
+            "_at": F.col("_id").bitwiseAND((1 << 33) - 1),
+        }
     )
-    placed = materialize(placed, "position")
-    one = F.lit(1).cast("bigint")
     totals = placed.groupBy("_bucket").agg(F.count("*").alias("n"))
-    offsets = bucket_offsets(totals, (), ["n"])
-    inside = W.partitionBy("_bucket").orderBy(*order)
-    return (
-        placed.withColumn("_rn", F.row_number().over(inside).cast("bigint"))
-        .join(offsets.hint("shuffle_hash"), "_bucket")
-        .withColumn(name, F.col("_rn") + F.col("_off_n") - one)
-        .select(*df.columns, name)
+    # one row per partition of the sort
+    offsets = F.broadcast(bucket_offsets(totals, (), ["n"]))
+    return placed.join(offsets, "_bucket").select(
+        *df.columns, (F.col("_off_n") + F.col("_at")).alias(name)
     )

@@ -15,7 +15,9 @@ EOS = 256
 PAD = 257
 SPACE = 32
 
-BROADCAST_WORDS = 500_000
+# What a broadcast vocabulary may hold: 32 MB of words at most.
+BROADCAST_WORDS = 250_000
+BROADCAST_WORD_BYTES = 128
 
 
 def byte_tokens(text: Column) -> Column:
@@ -205,6 +207,28 @@ def build_vocab(df: DataFrame, text: str = "text") -> DataFrame:
     return dense_position(counts, [F.col("n").desc(), F.col("word")], "id")
 
 
+def _look_up(
+    rows: DataFrame, vocab: DataFrame, on: str, value: str, broadcast_words: int
+) -> DataFrame:
+    """Left join of ``rows`` with ``vocab`` on ``on`` that adds ``value``.
+
+    The most frequent words (the lowest ids) of ordinary length are broadcast, which
+    bounds that table whatever the vocabulary's size. Only what is not among them is
+    joined by a shuffle; those words are rare, so no join key is hot.
+    """
+    in_head = (F.col("id") < broadcast_words) & (
+        F.octet_length("word") <= BROADCAST_WORD_BYTES
+    )
+    head = vocab.filter(in_head).select(on, value)
+    rest = vocab.filter(~in_head).select(on, value)
+    looked_up = rows.join(F.broadcast(head), on, "left")
+    if rest.isEmpty():
+        return looked_up
+    found = looked_up.filter(F.col(value).isNotNull())
+    others = looked_up.filter(F.col(value).isNull()).drop(value)
+    return found.unionByName(others.join(rest, on, "left"))
+
+
 def tokenize_vocab(
     df: DataFrame,
     vocab: DataFrame,
@@ -213,46 +237,33 @@ def tokenize_vocab(
     unknown: int | None = None,
     broadcast_words: int = BROADCAST_WORDS,
 ) -> DataFrame:
-    """``(key, ids)`` by looking every word up in ``vocab``.
+    """``(key, ids)`` by looking every word up in ``vocab`` (a written table, best).
 
-    The ``broadcast_words`` most frequent words (the lowest ids) are broadcast, which
-    bounds that table whatever the vocabulary's size. Only words outside it, all of
-    them rare, are joined by a shuffle, so no join key is hot. Words in neither get
-    ``unknown``, or are left out when it is None.
+    Words that are not there get ``unknown``, or are left out when it is None.
     """
     words = df.select(key, F.posexplode(words_of(F.col(text))).alias("_at", "word"))
-    head = vocab.filter(F.col("id") < broadcast_words).select("word", "id")
-    rest = vocab.filter(F.col("id") >= broadcast_words).select("word", "id")
-    looked_up = words.join(F.broadcast(head), "word", "left")
-    found = looked_up.filter("id is not null")
-    missing = looked_up.filter("id is null").drop("id").join(rest, "word", "left")
+    coded = _look_up(words, vocab, "word", "id", broadcast_words)
     if unknown is not None:
-        missing = missing.fillna({"id": unknown})
-    else:
-        missing = missing.filter("id is not null")
+        coded = coded.fillna({"id": unknown})
     pair = F.struct("_at", F.col("id").cast("int").alias("id"))
-    encoded = (
-        found.unionByName(missing)
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
+    pairs = F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), pair)))
+    return (
+        coded.groupBy(key)
+        .agg(pairs.alias("_pairs"))
         .select(key, F.col("_pairs.id").alias("ids"))
     )
-    return encoded
 
 
 def detokenize_vocab(
     df: DataFrame, vocab: DataFrame, key: str, broadcast_words: int = BROADCAST_WORDS
 ) -> DataFrame:
-    """``(key, text)`` from ``(key, ids)``, by the same two-part lookup."""
+    """``(key, text)`` from ``(key, ids)``; ids that are not in ``vocab`` are skipped."""
     tokens = df.select(key, F.posexplode("ids").alias("_at", "id"))
-    names = vocab.select(F.col("id").cast("int").alias("id"), "word")
-    head = names.filter(F.col("id") < broadcast_words)
-    rest = names.filter(F.col("id") >= broadcast_words)
-    common = tokens.filter(F.col("id") < broadcast_words).join(F.broadcast(head), "id")
-    rare = tokens.filter(F.col("id") >= broadcast_words).join(rest, "id")
+    vocab = vocab.withColumn("id", F.col("id").cast("int"))
+    words = _look_up(tokens, vocab, "id", "word", broadcast_words)
+    pair = F.when(F.col("word").isNotNull(), F.struct("_at", "word"))
     return (
-        common.unionByName(rare)
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("_at", "word"))).alias("_pairs"))
+        words.groupBy(key)
+        .agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
         .select(key, F.array_join("_pairs.word", " ").alias("text"))
     )
