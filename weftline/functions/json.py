@@ -10,7 +10,7 @@ else an object with a repeated field is rejected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Reasons a line is refused.
@@ -24,12 +24,23 @@ def strict_json(line: Column) -> Column:
     """The line as VARIANT, null when it is not exactly one JSON value."""
     in_array = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
     in_object = F.try_parse_json(F.concat(F.lit('{"v":'), line, F.lit("}")))
-    value = F.try_variant_get(in_array, "$[0]", "variant")
-    one_element = value.isNotNull() & (
-        F.try_variant_get(in_array, "$[1]", "variant").isNull()
-    )
     fields = F.try_variant_get(in_object, "$", "map<string,variant>")
-    return F.when(one_element & (F.size(fields) == 1), value)
+
+    def only_element(array: Column) -> Column:
+        first = F.try_variant_get(array, "$[0]", "variant")
+        second = F.try_variant_get(array, "$[1]", "variant")
+        return F.when(second.isNull() & (F.size(fields) == 1), first)
+
+    # the function gives the parsed line a name, so that it is parsed once
+    return F.transform(F.array(in_array), only_element)[0]
+
+
+def with_json(df: DataFrame, line: Column, name: str) -> DataFrame:
+    """Add the parsed line as a column.
+
+    The generator keeps the optimizer from copying the parser into every later use.
+    """
+    return df.select("*", F.explode(F.array(strict_json(line))).alias(name))
 
 
 def json_kind(value: Column) -> Column:

@@ -57,14 +57,14 @@ def filter_extension(
 
 def filter_string_type(df: DataFrame, line: str, field: str = "text") -> DataFrame:
     """JSON lines whose field is a string."""
-    value = J.strict_json(F.col(line))
-    return df.filter(J.text_field(value, field).isNotNull())
+    parsed = J.with_json(df, F.col(line), "_json")
+    return parsed.filter(J.text_field(F.col("_json"), field).isNotNull()).drop("_json")
 
 
 def filter_has_field(df: DataFrame, line: str, field: str = "text") -> DataFrame:
     """JSON lines that are objects with the field, whatever its value."""
-    value = J.strict_json(F.col(line))
-    return df.filter(J.field_of(value, field).isNotNull())
+    parsed = J.with_json(df, F.col(line), "_json")
+    return parsed.filter(J.field_of(F.col("_json"), field).isNotNull()).drop("_json")
 
 
 def pick_text_column(

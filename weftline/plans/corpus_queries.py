@@ -9,6 +9,7 @@ from weftline.functions.text import decode_utf8_ignore, strip
 from weftline.operators import counts, dedup, mix, select, split
 from weftline.operators.tokens import SPACE, ByteTokens
 from weftline.plans.registry import query, table
+from weftline.session import materialize
 
 # The same characters as functions.text.WHITESPACE, as a DuckDB expression.
 DUCK_WHITESPACE = " || ".join(
@@ -258,7 +259,7 @@ def quota_sql(column: str, weights: dict[str, int]) -> str:
 def interleave_quota(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
     mixed = mix.interleave(docs, LANG_WEIGHTS, "doc_id", "lang", "quota")
-    placed = mix.mixture_position(mixed, LANG_WEIGHTS, "quota")
+    placed = mix.mixture_position(materialize(mixed, "mixed"), LANG_WEIGHTS, "quota")
     return placed.select("doc_id", "lang", "k", "pos")
 
 
@@ -266,7 +267,7 @@ def interleave_quota(spark, sf_dir):
 def interleave_random(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
     mixed = mix.interleave(docs, LANG_WEIGHTS, "doc_id", "lang", "random")
-    placed = mix.mixture_position(mixed, LANG_WEIGHTS, "random")
+    placed = mix.mixture_position(materialize(mixed, "mixed"), LANG_WEIGHTS, "random")
     return placed.select("doc_id", "lang", "k", "pos")
 
 

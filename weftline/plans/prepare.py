@@ -55,16 +55,20 @@ def place_mixture(
     """``(key, pos, n_tokens)`` of every document that is left after mixing and dedup.
 
     Mixing, deduplication and numbering see a hash and a length in place of the text,
-    a few dozen bytes per document.
+    a few dozen bytes per document. They look at them more than once, so these are
+    written down, and the text is read and hashed once.
     """
-    narrow = df.select(
+    narrow = df.filter(F.col(source).isin(*weights)).select(
         key,
         source,
         text_hash(F.col(text)).alias("hash"),
         byte_count(F.col(text)).alias("n_tokens"),
     )
-    mixed = interleave(narrow, weights, key, source, mode, seed, rows)
+    mixed = interleave(
+        materialize(narrow, "narrow"), weights, key, source, mode, seed, rows
+    )
     kept = first_of_hash(mixed, "hash", ["mix_key", "mix_index"])
+    kept = materialize(kept.select(key, "mix_key", "mix_index", "n_tokens"), "kept")
     per_row = TICKS if mode == "random" else 2 / sum(weights.values())
     bucket = F.floor(F.col("mix_key") / (per_row * rows)).cast("bigint")
     ranked = with_rank(kept, ["mix_key", "mix_index"], "pos", bucket=bucket)

@@ -14,15 +14,19 @@ from weftline.session import materialize
 LENGTH = 1024
 
 
-def hex_md5(ids: Column) -> Column:
-    """A checksum both engines can make: two hex digits per byte, marks for special ids."""
-    digits = F.transform(
-        ids,
-        lambda t: F.when(t == tokens.EOS, "!!")
-        .when(t == tokens.PAD, "..")
-        .otherwise(F.lpad(F.hex(t), 2, "0")),
-    )
-    return F.md5(F.array_join(digits, ""))
+def ids_md5(ids: Column) -> Column:
+    """A checksum of token ids that both engines can make."""
+    return F.md5(F.array_join(ids.cast("array<string>"), " "))
+
+
+# The byte tokens of ``text`` in SQL, as a list of hex numbers with an end marker.
+def duck_tokens(end: str) -> str:
+    return f"list_append(regexp_extract_all(hex(encode(text)), '..'), '{end}')"
+
+
+def duck_md5(tokens: str) -> str:
+    numbers = f"list_transform({tokens}, lambda t: ('0x' || t)::INTEGER::VARCHAR)"
+    return f"md5(array_to_string({numbers}, ' '))"
 
 
 def documents(spark, sf_dir):
@@ -30,15 +34,15 @@ def documents(spark, sf_dir):
 
 
 @query(
-    """SELECT doc_id, octet_length(encode(text)) + 1 AS n,
-    md5(hex(encode(text)) || '!!') AS ids FROM documents"""
+    f"""SELECT doc_id, octet_length(encode(text)) + 1 AS n,
+    {duck_md5(duck_tokens('100'))} AS ids FROM documents"""
 )
 def tokenize_bytes(spark, sf_dir):
     ids = documents(spark, sf_dir).select(
         "doc_id", tokens.tokenize_bytes(F.col("text")).alias("ids")
     )
     return ids.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n"), hex_md5(F.col("ids")).alias("ids")
+        "doc_id", F.size("ids").cast("bigint").alias("n"), ids_md5(F.col("ids")).alias("ids")
     )
 
 
@@ -50,14 +54,14 @@ def detokenize(spark, sf_dir):
     )
 
 
-PADDED_SQL = """SELECT doc_id, md5(rpad(left(hex(encode(text)) || '!!', 4096), 4096, '.'))
-    AS ids, least(octet_length(encode(text)) + 1, 2048)::BIGINT AS used FROM documents"""
+PADDED_SQL = f"""SELECT doc_id,
+    {duck_md5(f"list_resize({duck_tokens('100')}, 2048, '101')")} AS ids, least(octet_length(encode(text)) + 1, 2048)::BIGINT AS used FROM documents"""
 
 
 def padded_summary(df):
     used = F.aggregate("attention_mask", F.lit(0), lambda a, m: a + m)
     return df.select(
-        "doc_id", hex_md5(F.col("input_ids")).alias("ids"), used.cast("bigint").alias("used")
+        "doc_id", ids_md5(F.col("input_ids")).alias("ids"), used.cast("bigint").alias("used")
     )
 
 
@@ -70,15 +74,15 @@ def truncate_pad(spark, sf_dir):
 
 
 @query(
-    """SELECT doc_id, octet_length(encode(text))::BIGINT AS n, md5(hex(encode(text))) AS ids
-    FROM documents"""
+    f"""SELECT doc_id, octet_length(encode(text))::BIGINT AS n,
+    {duck_md5("regexp_extract_all(hex(encode(text)), '..')")} AS ids FROM documents"""
 )
 def tokenize_udf(spark, sf_dir):
     """A Python tokenizer: here one that gives the UTF-8 bytes."""
     encode = tokens.tokenizer_udf(lambda: lambda text: list(text.encode("utf-8")))
     ids = documents(spark, sf_dir).select("doc_id", encode("text").alias("ids"))
     return ids.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n"), hex_md5(F.col("ids")).alias("ids")
+        "doc_id", F.size("ids").cast("bigint").alias("n"), ids_md5(F.col("ids")).alias("ids")
     )
 
 
@@ -104,7 +108,7 @@ def tokenize_vocab(spark, sf_dir):
     return tokens.tokenize_vocab(docs, vocab, "doc_id").select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n"),
-        F.md5(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids"),
+        ids_md5(F.col("ids")).alias("ids"),
     )
 
 
@@ -119,13 +123,13 @@ def detokenize_vocab(spark, sf_dir):
 def batch_sql(documents_cte: str, length: int = LENGTH) -> str:
     """Token by token: ``documents_cte`` defines ``d(rank, text)``."""
     return f"""{documents_cte},
-    l AS (SELECT rank, regexp_extract_all(hex(encode(text)) || '!!', '..') AS l FROM d),
+    l AS (SELECT rank, {duck_tokens('100')} AS l FROM d),
     t AS (SELECT rank, unnest(l) AS tok, generate_subscripts(l, 1) AS i FROM l),
     p AS (SELECT rank // 1000 AS batch_id, tok, row_number() OVER (
         PARTITION BY rank // 1000 ORDER BY rank, i) - 1 AS p FROM t),
     s AS (SELECT batch_id, count(*) AS total FROM p GROUP BY batch_id)
     SELECT batch_id, p // {length} AS block, count(*) AS n,
-    md5(string_agg(tok, '' ORDER BY p)) AS ids FROM p JOIN s USING (batch_id)
+    md5(string_agg(('0x' || tok)::INTEGER::VARCHAR, ' ' ORDER BY p)) AS ids FROM p JOIN s USING (batch_id)
     WHERE total < {length} OR p < total // {length} * {length}
     GROUP BY batch_id, p // {length}"""
 
@@ -140,7 +144,7 @@ def packed_summary(df):
         "batch_id",
         "block",
         F.size("input_ids").cast("bigint").alias("n"),
-        hex_md5(F.col("input_ids")).alias("ids"),
+        ids_md5(F.col("input_ids")).alias("ids"),
     )
 
 
@@ -155,8 +159,7 @@ def pack_batches(spark, sf_dir):
     return packed_summary(packed_batches(spark, sf_dir))
 
 
-CORPUS_TOKENS = """WITH l AS (SELECT doc_id, regexp_extract_all(hex(encode(text)) || '20', '..')
-        AS l FROM documents),
+CORPUS_TOKENS = f"""WITH l AS (SELECT doc_id, {duck_tokens('20')} AS l FROM documents),
     t AS (SELECT doc_id, unnest(l) AS tok, generate_subscripts(l, 1) AS i FROM l),
     p AS (SELECT tok, row_number() OVER (ORDER BY doc_id, i) - 1 AS p FROM t),
     s AS (SELECT count(*) - 1 AS total FROM p)"""
@@ -166,7 +169,7 @@ def corpus_sql(length: int, stride: int) -> str:
     return f"""{CORPUS_TOKENS},
     w AS (SELECT unnest(range(greatest(0, (p - {length} + {stride}) // {stride}),
         p // {stride} + 1)) AS seq_id, p, tok, total FROM p, s WHERE p < total)
-    SELECT seq_id, md5(string_agg(tok, '' ORDER BY p)) AS ids FROM w
+    SELECT seq_id, md5(string_agg(('0x' || tok)::INTEGER::VARCHAR, ' ' ORDER BY p)) AS ids FROM w
     WHERE seq_id * {stride} + {length} <= total AND p >= seq_id * {stride}
     AND p < seq_id * {stride} + {length} GROUP BY seq_id"""
 
@@ -179,7 +182,7 @@ def packed_corpus(spark, sf_dir, stride):
         LENGTH,
         stride,
     )
-    return packed.select("seq_id", hex_md5(F.col("input_ids")).alias("ids"))
+    return packed.select("seq_id", ids_md5(F.col("input_ids")).alias("ids"))
 
 
 @query(corpus_sql(LENGTH, LENGTH))
@@ -205,8 +208,7 @@ def pack_vocab(spark, sf_dir):
     vocab = materialize(tokens.build_vocab(docs), "vocab")
     ids = materialize(tokens.tokenize_vocab(docs, vocab, "doc_id"), "ids")
     packed = pack.pack_corpus(ids, tokens.ArrayTokens(F.col("ids")), "doc_id", LENGTH)
-    text = F.array_join(F.col("input_ids").cast("array<string>"), " ")
-    return packed.select("seq_id", F.md5(text).alias("ids"))
+    return packed.select("seq_id", ids_md5(F.col("input_ids")).alias("ids"))
 
 
 @query(

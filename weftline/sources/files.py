@@ -164,9 +164,7 @@ def _json_lines(
 ) -> DataFrame:
     """Lines that are not blank, with ``value`` null where a line is not JSON."""
     lines = _placed(_reader(spark, suffixes, recursive).text(path))
-    return lines.filter(has_text(F.col("value"))).withColumn(
-        "json", J.strict_json(F.col("value"))
-    )
+    return J.with_json(lines.filter(has_text(F.col("value"))), F.col("value"), "json")
 
 
 def _texts(rows: DataFrame, field: str) -> DataFrame:
@@ -218,7 +216,7 @@ def read_json_documents(
     """
     reader = _reader(spark, suffixes, recursive)
     files = _placed(reader.text(path, wholetext=True))
-    return _texts(files.withColumn("json", J.strict_json(F.col("value"))), field)
+    return _texts(J.with_json(files, F.col("value"), "json"), field)
 
 
 def read_json(
@@ -242,9 +240,7 @@ def read_json(
     if not suspects:
         return _texts(good, field)
     whole = _placed(spark.read.text([unquote(p) for p in suspects], wholetext=True))
-    whole = whole.withColumn("json", J.strict_json(F.col("value"))).filter(
-        "json is not null"
-    )
+    whole = J.with_json(whole, F.col("value"), "json").filter("json is not null")
     by_line = good.join(whole.select("path"), "path", "left_anti")
     return _texts(by_line, field).unionByName(_texts(whole, field))
 
@@ -313,20 +309,20 @@ def ingest_mixed_dir(
 
 def parse_lines(df: DataFrame, line: str, field: str = "text") -> DataFrame:
     """Add ``text``, unstripped, and ``reason``: why the line is refused, or null."""
-    value = J.strict_json(strip(F.col(line)))
-    parsed = df.withColumn("_json", value).withColumns(
-        {
-            "_field": J.field_of(F.col("_json"), field),
-            "text": J.text_field(F.col("_json"), field),
-        }
-    )
-    reason = (
-        F.when(F.col("_json").isNull(), J.INVALID_JSON)
-        .when(F.col("_field").isNull(), J.MISSING_FIELD)
-        .when(F.col("text").isNull(), J.NOT_A_STRING)
-        .when(is_blank(F.col("text")), J.EMPTY_TEXT)
-    )
-    return parsed.withColumn("reason", reason).drop("_json", "_field")
+
+    def checked(value: Column) -> Column:
+        text = J.text_field(value, field)
+        reason = (
+            F.when(value.isNull(), J.INVALID_JSON)
+            .when(J.field_of(value, field).isNull(), J.MISSING_FIELD)
+            .when(text.isNull(), J.NOT_A_STRING)
+            .when(is_blank(text), J.EMPTY_TEXT)
+        )
+        return F.struct(text.alias("text"), reason.alias("reason"))
+
+    value = F.array(J.strict_json(strip(F.col(line))))
+    # a generator, so that the line is parsed once for both columns and any filter
+    return df.select("*", F.inline(F.transform(value, checked)))
 
 
 def load_valid_jsonl(spark: SparkSession, path: str, field: str = "text") -> DataFrame:
