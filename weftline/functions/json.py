@@ -55,8 +55,11 @@ def json_kind(value: Column) -> Column:
 
 
 def field_path(name: str) -> str:
-    escaped = name.replace("\\", "\\\\").replace("'", "\\'")
-    return f"$['{escaped}']"
+    """A path to one field; paths know two kinds of quotes but no escapes."""
+    quote = "'" if "'" not in name else '"'
+    if quote in name:
+        raise ValueError(f"field name with both kinds of quotes: {name}")
+    return f"$[{quote}{name}{quote}]"
 
 
 def field_of(value: Column, name: str) -> Column:
