@@ -21,8 +21,9 @@ def by_source(values: Mapping[str, float], source: Column) -> Column:
 
 def gap(key: Column, source: Column, share: Column, seed: int) -> Column:
     """An exponential waiting time of mean ``1 / share`` ticks, fixed by the row."""
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), source, key), 11)
-    uniform = (bits.cast("double") + 0.5) / float(1 << 53)
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), source, key.cast("string")))
+    bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
+    uniform = (bits.cast("double") + 0.5) / float(1 << 52)
     return F.ceil(-F.ln(uniform) / share * float(TICKS)).cast("bigint")
 
 

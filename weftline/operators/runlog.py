@@ -171,25 +171,32 @@ def resume_incremental(df: DataFrame, done: DataFrame, keys: Sequence[str]) -> D
     return df.join(done.select(*keys), list(keys), "left_anti")
 
 
-def _fold(rows: Column, best: Column, misses: Column, patience: int, delta: float) -> Column:
-    """Run early stopping over ``rows`` of ``(idx, loss)`` from a given state."""
+def _fold(
+    rows: Column, best: Column, misses: Column, patience: int, delta: float, at: Column
+) -> Column:
+    """Run early stopping over rows ``(idx, loss, at)`` from a given state.
+
+    ``at`` here is a null of the type of the rows' ``at``.
+    """
+    nothing = F.struct(F.lit(None).cast("bigint").alias("idx"), at.alias("at"))
 
     def state(best: Column, misses: Column, stop: Column) -> Column:
         return F.struct(
             best.cast("double").alias("best"),
             misses.cast("int").alias("misses"),
-            stop.cast("bigint").alias("stop"),
+            stop.alias("stop"),
         )
 
-    nothing = F.lit(None)
-
     def step(s: Column, row: Column) -> Column:
         missed = s["misses"] + 1
+        here = F.struct(row["idx"].alias("idx"), row["at"].alias("at"))
         return (
-            F.when(s["stop"].isNotNull(), s)
+            F.when(s["stop"]["idx"].isNotNull(), s)
             .when(
                 row["loss"] > s["best"] - delta,
-                state(s["best"], missed, F.when(missed >= patience, row["idx"])),
+                state(
+                    s["best"], missed, F.when(missed >= patience, here).otherwise(nothing)
+                ),
             )
             .otherwise(state(row["loss"], F.lit(0), nothing))
         )
@@ -226,7 +233,12 @@ def early_stop(
     # the last rows of a chunk are also the history of the next one
     is_history = F.pmod("_idx", F.lit(rows)) >= rows - patience
     chunks = F.when(is_history, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
-    row = F.struct(F.col("_idx").alias("idx"), F.col("_loss").cast("double").alias("loss"))
+    row = F.struct(
+        F.col("_idx").alias("idx"),
+        F.col("_loss").cast("double").alias("loss"),
+        F.col("_step").alias("at"),
+    )
+    no_step = F.lit(None).cast(df.schema[step].dataType)
     collected = (
         ranked.select("_group", F.explode(chunks).alias("_chunk"), row.alias("_row"))
         .groupBy("_group", "_chunk")
@@ -239,7 +251,7 @@ def early_stop(
     def entry(misses: Column) -> Column:
         # ``get`` gives null before the first row of the run: no best loss yet
         best = F.get(history, F.lit(patience - 1) - misses)["loss"]
-        end = _fold(body, best, misses, patience, min_delta)
+        end = _fold(body, best, misses, patience, min_delta, no_step)
         return F.struct(end["misses"].alias("misses"), end["stop"].alias("stop"))
 
     states = F.sequence(F.lit(0), F.lit(patience - 1))
@@ -249,12 +261,15 @@ def early_stop(
 
     def follow(parts: Column, misses: Column) -> Column:
         start = F.struct(
-            misses.cast("int").alias("misses"), F.lit(None).cast("bigint").alias("stop")
+            misses.cast("int").alias("misses"),
+            F.struct(
+                F.lit(None).cast("bigint").alias("idx"), no_step.alias("at")
+            ).alias("stop"),
         )
         return F.aggregate(
             parts,
             start,
-            lambda s, t: F.when(s["stop"].isNotNull(), s).otherwise(
+            lambda s, t: F.when(s["stop"]["idx"].isNotNull(), s).otherwise(
                 F.get(t["_table"], s["misses"])
             ),
         )
@@ -274,14 +289,13 @@ def early_stop(
     # two rounds leave one table per rows**3 rows of a run
     tables = compose(compose(tables))
     parts = F.array_sort(F.collect_list(F.struct("_chunk", "_table")))
-    stops = (
+    return (
         tables.groupBy("_group")
         .agg(parts.alias("_parts"))
-        .select("_group", follow(F.col("_parts"), F.lit(0))["stop"].alias("stop_index"))
-    )
-    at_stop = ranked.select(
-        "_group", F.col("_idx").alias("stop_index"), F.col("_step").alias("stop_step")
-    )
-    return stops.join(at_stop, ["_group", "stop_index"], "left").select(
-        *[F.col("_group")[c].alias(c) for c in by], "stop_index", "stop_step"
+        .select("_group", follow(F.col("_parts"), F.lit(0))["stop"].alias("_stop"))
+        .select(
+            *[F.col("_group")[c].alias(c) for c in by],
+            F.col("_stop.idx").alias("stop_index"),
+            F.col("_stop.at").alias("stop_step"),
+        )
     )

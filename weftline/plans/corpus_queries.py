@@ -238,12 +238,27 @@ def dedup_incremental(spark, sf_dir):
     return dedup.dedup_incremental(docs, seen, "doc_id").select("doc_id")
 
 
+QUOTA_KEY = "(2 * k + 1) / weight::DOUBLE"
+# 52 bits of a hash as a number in (0, 1), as a waiting time, added up per source
+RANDOM_KEY = """(sum(ceil(-ln((('0x' || substr(md5('42:' || name || ':' || doc_id), 1, 13))
+    ::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE) / (weight::DOUBLE / {total}.0::DOUBLE)
+    * 1048576.0::DOUBLE)::BIGINT) OVER (PARTITION BY name ORDER BY doc_id))::BIGINT"""
+
+
+def random_sql(column: str, weights: dict[str, int]) -> str:
+    return mixture_sql(column, weights, RANDOM_KEY.format(total=sum(weights.values())))
+
+
 def quota_sql(column: str, weights: dict[str, int]) -> str:
+    return mixture_sql(column, weights, QUOTA_KEY)
+
+
+def mixture_sql(column: str, weights: dict[str, int], mix_key: str) -> str:
     values = ", ".join(f"('{s}', {i}, {w})" for i, (s, w) in enumerate(weights.items()))
     return f"""WITH w(name, idx, weight) AS (VALUES {values}),
     r AS (SELECT doc_id, {column} AS name, row_number() OVER (
         PARTITION BY {column} ORDER BY doc_id) - 1 AS k FROM documents),
-    m AS (SELECT r.*, idx, (2 * k + 1) / weight::DOUBLE AS mix_key
+    m AS (SELECT r.*, idx, {mix_key} AS mix_key
         FROM r JOIN w USING (name)),
     e AS (SELECT idx, max(mix_key) AS mix_key FROM m GROUP BY idx),
     c AS (SELECT mix_key, idx FROM e ORDER BY mix_key, idx LIMIT 1),
@@ -263,7 +278,11 @@ def interleave_quota(spark, sf_dir):
     return placed.select("doc_id", "lang", "k", "pos")
 
 
-@query()
+@query(
+    random_sql("lang", LANG_WEIGHTS)
+    + """ SELECT doc_id, name AS lang, k,
+    row_number() OVER (ORDER BY mix_key, idx) - 1 AS pos FROM x"""
+)
 def interleave_random(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
     mixed = mix.interleave(docs, LANG_WEIGHTS, "doc_id", "lang", "random")
