@@ -343,6 +343,21 @@ def distributed_sampler(spark, sf_dir):
     return split.distributed_sampler(docs, "doc_id", 7)
 
 
+@query(
+    """WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:2:' || doc_id), doc_id)
+        - 1 AS r FROM documents), n AS (SELECT count(*) AS n FROM documents),
+    d AS (SELECT doc_id, (p % 3)::INTEGER AS replica, p // 3 AS sample, (n + 2) // 3 AS each
+        FROM (SELECT doc_id, n, unnest(range(r, ((n + 2) // 3) * 3, n)) AS p FROM r, n))
+    SELECT doc_id, replica, sample, sample // 16 AS batch_id FROM d
+    WHERE sample // 16 < each // 16"""
+)
+def training_batches(spark, sf_dir):
+    from weftline.plans.prepare import training_batches as batches
+
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return batches(docs, "doc_id", 16, replicas=3, epoch=2)
+
+
 @query(
     """SELECT doc_id, row_number() OVER (ORDER BY md5('42:1:' || doc_id), doc_id) - 1 AS rank
     FROM documents"""

@@ -8,15 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions.text import text_hash
+from weftline.operators.dedup import first_of_hash
 from weftline.operators.mix import TICKS, interleave
 from weftline.operators.pack import pack_batches
-from weftline.operators.ranks import BUCKET_ROWS, dense_position, with_rank
+from weftline.operators.ranks import BUCKET_ROWS, dense_position, div, with_rank
 from weftline.operators.select import require_rows
-from weftline.operators.split import split_sequential
+from weftline.operators.split import distributed_sampler, split_sequential
 from weftline.operators.tokens import ByteTokens, byte_count
-from weftline.operators.dedup import first_of_hash
 from weftline.session import materialize
-from weftline.sources.files import ORDER, ingest_mixed_dir
+from weftline.sources.files import (
+    ORDER,
+    ingest_mixed_dir,
+    read_csv_column,
+    read_json,
+    read_jsonl,
+    read_parquet_column,
+    read_text_files,
+)
 from weftline.sources.sinks import write_jsonl, write_split
 
 
@@ -42,6 +50,52 @@ def convert_directory(
         write_split(split_sequential(corpus, "pos", train_ratio), f"{output}/splits")
 
 
+def convert_file(
+    spark: SparkSession,
+    path: str,
+    output: str,
+    kind: str,
+    column: str = "text",
+    delimiter: str = ",",
+) -> None:
+    """One file, or files of one kind, added to the JSON lines in ``output``.
+
+    ``kind`` is ``txt``, ``csv``, ``json``, ``jsonl`` or ``parquet``.
+    """
+    read = {
+        "txt": lambda: read_text_files(spark, path),
+        "csv": lambda: read_csv_column(spark, path, column, delimiter),
+        "json": lambda: read_json(spark, path, column),
+        "jsonl": lambda: read_jsonl(spark, path, column),
+        "parquet": lambda: read_parquet_column(spark, path, column),
+    }
+    if kind not in read:
+        raise ValueError(f"unknown kind {kind!r}, expected one of {sorted(read)}")
+    write_jsonl(read[kind](), output, mode="append")
+
+
+def training_batches(
+    df: DataFrame,
+    key: str,
+    batch_size: int,
+    replicas: int = 1,
+    shuffle: bool = True,
+    drop_last: bool = True,
+    seed: int = 42,
+    epoch: int = 0,
+) -> DataFrame:
+    """Add ``replica``, ``sample`` and ``batch_id``: what each replica reads, in order.
+
+    Training shuffles and drops a short last batch; validation reads in key order.
+    """
+    dealt = distributed_sampler(df, key, replicas, shuffle, seed, epoch)
+    dealt = dealt.withColumn("batch_id", div(F.col("sample"), batch_size))
+    if not drop_last:
+        return dealt
+    each = F.ceil(df.agg(F.count("*")).scalar() / replicas).cast("bigint")
+    return dealt.filter(F.col("batch_id") < div(each, batch_size))
+
+
 def place_mixture(
     df: DataFrame,
     weights: Mapping[str, float],
