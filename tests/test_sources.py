@@ -60,13 +60,15 @@ def test_json_lines(spark, tmp_path):
         files.read_jsonl(spark, path, on_error="other")
 
 
-def test_json_of_either_kind(spark, tmp_path):
+def test_json_of_either_kind(spark, tmp_path, monkeypatch):
     write(tmp_path / "a.json", JSONL)
     write(tmp_path / "b c.json", json.dumps([{"text": "p"}, "q", {"text": 1}], indent=2))
     write(tmp_path / "c.json", json.dumps({"text": "one"}, indent=2))
     write(tmp_path / "d.json", '{"text":"good"}\n{bad\n')
     got = texts(files.read_json(spark, str(tmp_path)))
     assert got == ["a", "  s ", "b", "c", "p", "q", "one", "good"]
+    monkeypatch.setattr(files, "MAX_LISTED", 1)
+    assert texts(files.read_json(spark, str(tmp_path))) == got
     only = files.read_json_documents(spark, str(tmp_path / "b c.json"))
     assert texts(only) == ["p", "q"]
 

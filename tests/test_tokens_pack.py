@@ -129,6 +129,8 @@ def test_check_packed(spark):
 
 def test_byte_tokens_round_trip(spark):
     texts = ["", "abc", "é😀\x00\n", "Ā"]
+    null = spark.createDataFrame([(None,)], "text string")
+    assert null.select(tokens.tokenize_bytes(F.col("text"))).first()[0] is None
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     ids = tokens.tokenize_bytes(F.col("text"))
     got = df.select("text", ids.alias("ids"), tokens.detokenize_bytes(ids).alias("back"))

@@ -27,9 +27,7 @@ def byte_tokens(text: Column) -> Column:
     """
     chars = F.split(F.decode(text.cast("binary"), "ISO-8859-1"), "")
     ids = F.transform(chars, lambda c: F.ascii(c))
-    return F.when(F.octet_length(text) > 0, ids).otherwise(
-        F.array().cast("array<int>")
-    )
+    return F.when(F.octet_length(text) == 0, F.array().cast("array<int>")).otherwise(ids)
 
 
 def tokenize_bytes(text: Column) -> Column:

@@ -34,6 +34,9 @@ from weftline.operators.select import (
 ORDER = ["path", "block", "row", "item"]
 COLUMNS = [*ORDER, "text"]
 MIB = 1 << 20
+# File names that may come to the driver, and the longest value Spark holds.
+MAX_LISTED = 10_000
+MAX_WHOLE = (1 << 31) - 1
 
 
 def suffix_glob(suffixes: Iterable[str]) -> str:
@@ -147,15 +150,12 @@ def _json_texts(value: Column, field: str) -> Column:
     """The texts of one JSON value: of an object, a string, or an array of those."""
 
     def text_of(item: Column) -> Column:
-        kind = J.json_kind(item)
-        from_object = strip(J.text_field(item, field))
-        return F.when(kind == "string", J.string_of(item)).when(
-            (kind == "object") & (from_object != ""), from_object
-        )
+        from_object = F.nullif(strip(J.text_field(item, field)), F.lit(""))
+        return F.coalesce(J.string_of(item), from_object)
 
-    items = F.when(
-        J.json_kind(value) == "array", F.try_variant_get(value, "$", "array<variant>")
-    ).otherwise(F.array(value))
+    items = F.coalesce(
+        F.try_variant_get(value, "$", "array<variant>"), F.array(value)
+    )
     return F.filter(F.transform(items, text_of), lambda t: t.isNotNull())
 
 
@@ -229,17 +229,22 @@ def read_json(
     """JSON files of either kind: lines, or one value over several lines.
 
     A file with a line that is not JSON is read whole, and counts as one value if it is
-    one; else its good lines count. Only the names of such files come to the driver,
-    the way file listings do.
+    one; else its good lines count. Up to ``MAX_LISTED`` such files are read by name;
+    beyond that all files that can be one value are read whole and joined by name.
     """
     lines = _json_lines(spark, path, suffixes, recursive)
-    suspects = [
-        r.path for r in lines.filter("json is null").select("path").distinct().collect()
-    ]
+    suspects = lines.filter("json is null").select("path").distinct()
+    listed = [r.path for r in suspects.limit(MAX_LISTED + 1).collect()]
     good = lines.filter("json is not null")
-    if not suspects:
+    if not listed:
         return _texts(good, field)
-    whole = _placed(spark.read.text([unquote(p) for p in suspects], wholetext=True))
+    if len(listed) <= MAX_LISTED:
+        whole = spark.read.text([unquote(p) for p in listed], wholetext=True)
+        whole = _placed(whole)
+    else:
+        whole = _reader(spark, suffixes, recursive).text(path, wholetext=True)
+        whole = _placed(whole.filter(F.col("_metadata.file_size") < MAX_WHOLE))
+        whole = whole.join(suspects, "path", "left_semi")
     whole = J.with_json(whole, F.col("value"), "json").filter("json is not null")
     by_line = good.join(whole.select("path"), "path", "left_anti")
     return _texts(by_line, field).unionByName(_texts(whole, field))
