@@ -9,6 +9,7 @@ from weftline.llm.blocks import remainder
 from weftline.llm.langid import identify, learn_languages
 from weftline.llm.quality import learn_quality, score_quality
 from weftline.llm.registry import query, table
+from weftline.llm.toxicity import learn_toxicity, score_toxicity
 
 
 def held_out(divisor: int, rest: int) -> Column:
@@ -25,6 +26,14 @@ def labelled(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
 
 
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = learn_toxicity(labelled(spark, sf_dir, "toxic").where(remainder("doc_id", 3) != 1))
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", held_out(3, 1), "score", predicted(), "toxic_tokens", "offsets")
+
+
 @query()
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
