@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from weftline.llm.blocks import remainder
 from weftline.llm.langid import identify, learn_languages
+from weftline.llm.packing import cut_pieces, pack
 from weftline.llm.quality import learn_quality, score_quality
 from weftline.llm.registry import query, table
+from weftline.llm.store import written
 from weftline.llm.toxicity import learn_toxicity, score_toxicity
 
 
@@ -46,3 +48,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = learn_languages(docs.where(remainder("doc_id", 3) != 1))
     return identify(docs, model).select("doc_id", held_out(3, 1), "lang_pred", "score", "coverage")
+
+
+@query()
+def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    # written once: the number of groups needs a count, and tokens are dear
+    pieces = written(cut_pieces(docs).withColumnRenamed("part", "piece"), "pieces")
+    return pack(pieces, columns=("doc_id", "piece", "start", "ids_crc32"))
