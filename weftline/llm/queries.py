@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weftline.llm.blocks import remainder
 from weftline.llm.langid import identify, learn_languages
 from weftline.llm.packing import cut_pieces, pack
+from weftline.llm.pii import digest
 from weftline.llm.quality import learn_quality, score_quality
 from weftline.llm.registry import query, table
 from weftline.llm.store import written
@@ -28,6 +29,11 @@ def labelled(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
 
 
+@query()
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
