@@ -202,13 +202,15 @@ def detect(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 def digest(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Counts by base kind, the hash of the base spans, and all spans, from ``detect``."""
     found = detect(docs, key, text)
-    count = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
+
+    def of(kind: str) -> Column:
+        return F.filter("found", lambda s: s["kind"] == kind)
 
     def shown(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    base = F.concat(*(F.filter("found", lambda s, k=k: s["kind"] == k) for k in BASE))
-    rest = F.concat(*(F.filter("found", lambda s, k=k: s["kind"] == k) for k in ADDED))
+    base, rest = F.concat(*map(of, BASE)), F.concat(*map(of, ADDED))
+    count = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in BASE]
     return found.select(
         key, *count, F.sha2(shown(base), 256).alias("base_sha256"), shown(F.concat(base, rest)).alias("spans")
     )

@@ -12,6 +12,7 @@ from weftline.llm.pii import digest
 from weftline.llm.quality import learn_quality, score_quality
 from weftline.llm.registry import query, table
 from weftline.llm.store import written
+from weftline.llm.topk_search import top_k
 from weftline.llm.toxicity import learn_toxicity, score_toxicity
 
 
@@ -42,6 +43,23 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(3, 1), "score", predicted(), "toxic_tokens", "offsets")
 
 
+@query("""
+    WITH held AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.vec, c.vec) AS BIGINT) AS score
+        FROM held q JOIN held c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+    ), ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""")
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query()
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
