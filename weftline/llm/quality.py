@@ -1,7 +1,7 @@
 """Quality classifier: averaged hashed word and character n-gram vectors, softmax output.
 
 Words are runs without white space, taken as they are; their n-grams of bytes include one
-blank on either side. Every feature has a learned vector in a hashed table, a text is the
+blank on either side; a word that repeats the one before it is a feature of its own. Every feature has a learned vector in a hashed table, a text is the
 mean of its features' vectors, and a softmax layer gives the classes. Training is
 stochastic gradient descent in numpy on a bounded sample of labelled rows.
 
@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from weftline.llm.blocks import Rolling, raw_bytes, runs, slices, solid_flags, sums_between
 
 #: Training takes about this many labelled rows at most, picked by a hash of the key.
-SAMPLE = 6000
+SAMPLE = 5000
 #: Features of a training text beyond this many distinct ones are left out of training
 #: (never of scoring), the rarest in the text first.
-TRAIN_FEATURES = 4000
+TRAIN_FEATURES = 2000
 BUCKET_BITS = 17
 DIM = 8
 WIDTHS = (3, 4, 5)
@@ -52,7 +52,14 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, n
     shift = np.uint64(64 - BUCKET_BITS)
     solid = solid_flags(data)
     starts, ends, firsts = runs(solid, offsets)
-    out = [((Rolling(data)(starts, ends) >> shift).astype(np.int32), firsts)]
+    words = Rolling(data)(starts, ends)
+    out = [((words >> shift).astype(np.int32), firsts)]
+    # one feature stands for every word that repeats the word before it
+    same = np.zeros(len(words), dtype=bool)
+    same[1:] = words[1:] == words[:-1]
+    same[firsts[:-1][firsts[:-1] < len(words)]] = False
+    again = np.flatnonzero(same)
+    out.append((np.zeros(len(again), np.int32), np.searchsorted(again, firsts)))
     # one blank between texts stands for the border of the first and last words
     n = len(data)
     place = np.arange(n) + np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)) + 1
