@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.llm import secret_scan
 from weftline.llm.blocks import remainder
 from weftline.llm.langid import identify, learn_languages
 from weftline.llm.packing import cut_pieces, pack
@@ -43,6 +44,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(3, 1), "score", predicted(), "toxic_tokens", "offsets")
 
 
+@query()
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(table(spark, sf_dir, "documents"))
+
+
 @query("""
     WITH held AS (
         SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
