@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm import secret_scan
 from weftline.llm.blocks import remainder
+from weftline.llm.decontaminate import find_leaks
 from weftline.llm.langid import identify, learn_languages
 from weftline.llm.packing import cut_pieces, pack
 from weftline.llm.pii import digest
@@ -80,6 +81,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out(3, 1), "lang_pred", "score", "coverage")
 
 
+@query()
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
