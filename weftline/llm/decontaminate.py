@@ -5,8 +5,9 @@ window of ``WINDOW`` words, half overlapping its neighbour; entries of the index
 pieces of half a window of long ones, so that a copied entry lies in one window whole. Scores
 are BM25 divided by the entry's score for its own text, so one threshold serves all.
 
-Windows whose bound stays below the threshold in every group of entries are passed over at once; the
-others walk the posting lists by block-max WAND and retrieve all entries above it.
+Each entry has essential terms, its rarest; all its others together weigh less than ``REST``.
+Windows where no entry's essential terms can make up for the rest are passed over at once; the
+others walk the posting lists by block-max WAND and retrieve all entries above the threshold.
 An item counts as leaked if the shingles of its question and of its answer both lie near
 that window. The answer is the last sentence, or the last quarter of a single sentence.
 
@@ -40,7 +41,9 @@ OVERLAP = 0.5
 QUESTION_WORDS, ANSWER_WORDS = 5, 2
 K1, B = 1.2, 0.75
 SHARD_BYTES = 4 << 20
-POSTINGS, GROUPS = 16, 16
+POSTINGS = 16
+#: An entry's most frequent terms are not essential, as long as they weigh less together.
+REST = 0.25
 
 _SENTENCE = re.compile(r"[.!?]+\s+")
 
@@ -60,7 +63,10 @@ class Entry:
 class Index:
     terms: np.ndarray
     lists: list[Entry]
-    groups: np.ndarray  # greatest weight by group of entries and term
+    first: np.ndarray  # by term, where its essential postings begin
+    entry: np.ndarray  # essential postings
+    weight: np.ndarray
+    rest: np.ndarray  # by entry, the weight of its other terms together
     item_of: list[int]  # item by entry
     items: list[tuple] = field(default_factory=list)  # key, question and answer shingles, words
 
@@ -145,24 +151,35 @@ def make_index(texts: list, rows: list, entries: int, mean: float) -> Index:
         at = number[(r["item"], r["piece"])]
         weight[(r["term"], at)] = value
         own[at] += value
+    df = {r["term"]: r["df"] for r in rows}
     found: dict[int, list[tuple[int, float]]] = {}
     for (term, at), value in sorted(weight.items()):
         found.setdefault(term, []).append((at, value / own[at]))
     terms = np.array(sorted(found), dtype=np.int64).view(np.uint64)
     by_hash = np.argsort(terms, kind="stable")
     names = [int(x) for x in terms.view(np.int64)[by_hash]]
-    lists, groups = [], np.zeros((GROUPS, len(names)), dtype=np.float32)
+    lists, by_entry = [], [[] for _ in order]
     for i, term in enumerate(names):
         numbers, weights = map(list, zip(*found[term], strict=True))
         blocks = range(0, len(numbers), POSTINGS)
         most = [max(weights[a : a + POSTINGS]) for a in blocks]
         lists.append(Entry(numbers, weights, [numbers[min(a + POSTINGS, len(numbers)) - 1] for a in blocks], most, max(most)))
         for at, value in zip(numbers, weights, strict=True):
-            g = at * GROUPS // len(order)
-            # rounded up, so that bounds stay bounds
-            groups[g, i] = max(groups[g, i], np.nextafter(np.float32(value), np.float32(2)))
+            by_entry[at].append((-df[term], value, i))
+    rest, essential = np.zeros(len(order)), []
+    for at, own_terms in enumerate(by_entry):
+        for _, value, i in sorted(own_terms):
+            if rest[at] + value < REST:
+                rest[at] += value
+            else:
+                essential.append((i, at, value))
+    essential.sort()
+    first = np.searchsorted(np.array([e[0] for e in essential]), np.arange(len(names) + 1))
     place = {t["item"]: i for i, t in enumerate(texts)}
-    index = Index(terms[by_hash], lists, groups, [place[item] for item, _ in order])
+    index = Index(
+        terms[by_hash], lists, first, np.array([e[1] for e in essential]), np.array([e[2] for e in essential]), rest,
+        [place[item] for item, _ in order],
+    )
     for t in texts:
         question, answer = split_item(t["text"])
         words, firsts = words_of(pa.array([question, answer, t["text"]], pa.string()))
@@ -224,6 +241,8 @@ def leaks(texts: pa.Array, index: Index, retrieve: float = RETRIEVE, overlap: fl
     """For each text, by item number: (score, question overlap, answer overlap)."""
     words, firsts = words_of(texts)
     out: list[dict[int, tuple]] = [{} for _ in range(len(firsts) - 1)]
+    if retrieve <= REST:
+        raise ValueError(f"retrieve must be above {REST}")
     if not len(words) or not len(index.terms):
         return out
     at = np.minimum(np.searchsorted(index.terms, words), len(index.terms) - 1)
@@ -240,13 +259,17 @@ def leaks(texts: pa.Array, index: Index, retrieve: float = RETRIEVE, overlap: fl
     text_of = np.repeat(np.arange(len(sizes)), halves)
     together = np.zeros(total, dtype=bool)
     together[:-1] = text_of[1:] == text_of[:-1]
-    alive = np.zeros(total, dtype=bool)
-    for group in index.groups:
-        bound = np.bincount(half, group[term], minlength=total)
-        bound[:-1] += np.where(together[:-1], bound[1:], 0)
-        alive |= bound >= retrieve - 1e-6
+    # essential postings of what each half window holds, for the windows that begin there or before
+    count = index.first[term + 1] - index.first[term]
+    at = np.repeat(index.first[term] - np.cumsum(count) + count, count) + np.arange(count.sum())
+    window, entry, weight = np.repeat(half, count), index.entry[at], index.weight[at]
+    before = np.flatnonzero((window > 0) & together[window - 1])
+    keys = np.concatenate([window, window[before] - 1]) * len(index.rest) + np.concatenate([entry, entry[before]])
+    keys, place = np.unique(keys, return_inverse=True)
+    bound = np.bincount(place, np.concatenate([weight, weight[before]])) + index.rest[keys % len(index.rest)]
+    alive = np.unique(keys[bound >= retrieve - 1e-6] // len(index.rest))
     bounds = np.searchsorted(half, np.arange(total + 1))
-    for h in np.flatnonzero(alive):
+    for h in alive:
         end = h + 2 if together[h] else h + 1
         found = wand([index.lists[t] for t in np.unique(term[bounds[h] : bounds[end]])], retrieve)
         text = text_of[h]
