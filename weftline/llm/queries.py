@@ -9,6 +9,7 @@ from weftline.llm import secret_scan
 from weftline.llm.blocks import remainder
 from weftline.llm.decontaminate import find_leaks
 from weftline.llm.langid import identify, learn_languages
+from weftline.llm.ngram_join import near_duplicates
 from weftline.llm.packing import cut_pieces, pack
 from weftline.llm.pii import digest
 from weftline.llm.quality import learn_quality, score_quality
@@ -37,6 +38,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
