@@ -26,6 +26,8 @@ SAMPLE = 4000
 SHARE = 0.01
 #: No language keeps more n-grams than this, the most frequent first.
 GRAMS = 30_000
+#: A text is in a language if that contains this share of the text's n-grams.
+COVERAGE = 0.5
 WIDTHS = (3, 4)
 SLOT_BITS = 18
 HASHES = 3
@@ -156,6 +158,28 @@ def hits(model: LanguageFilter, data: np.ndarray, offsets: np.ndarray) -> tuple[
     return found, total
 
 
+def judge(model: LanguageFilter, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and coverage of each text."""
+    data, offsets = raw_bytes(texts)
+    n = len(offsets) - 1
+    names, score, covers = ["und"] * n, np.zeros(n), np.zeros(n)
+    if not model.languages:
+        return names, score, covers
+    found, total = hits(model, data, offsets)
+    best = found.argmax(1)
+    top = found[np.arange(n), best]
+    rest = np.partition(found, -2, axis=1)[:, -2] if found.shape[1] > 1 else np.zeros(n)
+    letters = letter_flags(data)
+    some = sums_between(letters, offsets) > 0
+    plain = sums_between(letters & (data < 128), offsets) > 0
+    for i in np.flatnonzero(some):
+        if plain[i] or any(map(str.isalpha, texts[int(i)].as_py())):
+            names[i] = model.languages[best[i]]
+            score[i] = top[i] / (top[i] + rest[i]) if top[i] else 0.0
+            covers[i] = min(1.0, top[i] / total[i]) if total[i] else 0.0
+    return names, score, covers
+
+
 def identify(docs: DataFrame, model: LanguageFilter, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row: the key, ``lang_pred``, ``score`` and ``coverage``.
 
@@ -168,21 +192,7 @@ def identify(docs: DataFrame, model: LanguageFilter, key: str = "doc_id", text:
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                data, offsets = raw_bytes(part.column("text"))
-                n = len(offsets) - 1
-                names, score, covers = ["und"] * n, np.zeros(n), np.zeros(n)
-                if model.languages:
-                    found, total = hits(model, data, offsets)
-                    best = found.argmax(1)
-                    top = found[np.arange(n), best]
-                    rest = np.partition(found, -2, axis=1)[:, -2] if found.shape[1] > 1 else np.zeros(n)
-                    some = sums_between(letter_flags(data), offsets) > 0
-                    plain = sums_between(letter_flags(data) & (data < 128), offsets) > 0
-                    for i in np.flatnonzero(some):
-                        if plain[i] or any(map(str.isalpha, part.column("text")[int(i)].as_py())):
-                            names[i] = model.languages[best[i]]
-                            score[i] = top[i] / (top[i] + rest[i]) if top[i] else 0.0
-                            covers[i] = min(1.0, top[i] / total[i]) if total[i] else 0.0
+                names, score, covers = judge(model, part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), pa.array(names, pa.string()), pa.array(score), pa.array(covers)],
                     names=["key", "lang_pred", "score", "coverage"],
@@ -190,3 +200,16 @@ def identify(docs: DataFrame, model: LanguageFilter, key: str = "doc_id", text:
 
     out = source.mapInArrow(run, f"key {kind}, lang_pred string, score double, coverage double")
     return out.withColumnRenamed("key", key)
+
+
+def accepted(docs: DataFrame, model: LanguageFilter, text: str = "text", coverage: float = COVERAGE) -> DataFrame:
+    """The rows whose text is in a learned language, all columns as they are."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, text):
+                names, _, covers = judge(model, part.column(text))
+                keep = [n != "und" and c >= coverage for n, c in zip(names, covers, strict=True)]
+                yield part.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

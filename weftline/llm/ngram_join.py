@@ -271,3 +271,14 @@ def _answers(signed: DataFrame, facts: DataFrame, key: str) -> DataFrame:
         (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", none)).cast("long").alias("n_links"),
     )
     return rest.union(own)
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group of near duplicates, the one with the least key.
+
+    A key names a document: of several rows with a key and a text one stays. A row
+    without a key goes by the hash of its text.
+    """
+    named = docs.withColumn("__key", F.coalesce(F.col(key).cast("long"), F.xxhash64(text))).withColumn("__text", F.xxhash64(text))
+    first = near_duplicates(named, "__key", text).where(F.col("__key") == F.col("class_id")).select("__key")
+    return named.join(first, "__key", "left_semi").dropDuplicates(["__key", "__text"]).drop("__key", "__text")

@@ -9,6 +9,7 @@ from weftline.llm import secret_scan
 from weftline.llm.blocks import remainder
 from weftline.llm.decontaminate import find_leaks
 from weftline.llm.langid import identify, learn_languages
+from weftline.llm.lm_score import score
 from weftline.llm.ngram_join import near_duplicates
 from weftline.llm.packing import cut_pieces, pack
 from weftline.llm.pii import digest
@@ -87,6 +88,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out(3, 1), "lang_pred", "score", "coverage")
 
 
+@query()
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
