@@ -182,7 +182,11 @@ def _marked(features: np.ndarray, firsts: np.ndarray, labels: np.ndarray) -> np.
 
 def train(texts: list[str], labels: np.ndarray, weight: np.ndarray) -> ToxicField:
     """Fit the field on three quarters of the texts, the document layer on the rest."""
-    features, _, _, firsts = _tokens(*raw_bytes(pa.array(texts, pa.string())))
+    # slice by slice, so that only the feature table is as large as the sample
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    parts = [(t[0], np.diff(t[3])) for t in (_tokens(*raw_bytes(x.column("text"))) for x in slices(batch, "text"))]
+    features = np.concatenate([np.zeros((0, len(PREFIXES) + 2), np.int32), *(f for f, _ in parts)])
+    firsts = np.concatenate([[0], np.cumsum(np.concatenate([n for _, n in parts]))]).astype(np.int64)
     fit = np.arange(len(texts)) % 4 != 0
     y = _marked(features[np.repeat(fit, np.diff(firsts))], np.concatenate([[0], np.cumsum(np.diff(firsts)[fit])]), labels[fit])
     own = features[np.repeat(fit, np.diff(firsts))]
