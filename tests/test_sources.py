@@ -1,3 +1,4 @@
+import gzip
 import json
 
 import pyarrow as pa
@@ -5,6 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from weftline.functions import json as J
 from weftline.operators import select
 from weftline.operators.ranks import dense_position
 from weftline.plans.prepare import convert_directory
@@ -54,21 +56,16 @@ def test_json_lines(spark, tmp_path):
     write(tmp_path / "a.jsonl", JSONL + "{bad\n" + '{"text":"late"}\r\n')
     path = str(tmp_path)
     assert texts(files.read_jsonl(spark, path)) == ["a", "  s ", "b", "c", "late"]
-    prefix = files.read_jsonl(spark, path, on_error="prefix")
-    assert texts(prefix) == ["a", "  s ", "b", "c"]
-    with pytest.raises(ValueError):
-        files.read_jsonl(spark, path, on_error="other")
 
 
-def test_json_of_either_kind(spark, tmp_path, monkeypatch):
+def test_json_of_either_kind(spark, tmp_path):
     write(tmp_path / "a.json", JSONL)
     write(tmp_path / "b c.json", json.dumps([{"text": "p"}, "q", {"text": 1}], indent=2))
     write(tmp_path / "c.json", json.dumps({"text": "one"}, indent=2))
     write(tmp_path / "d.json", '{"text":"good"}\n{bad\n')
+    write(tmp_path / "e[1].json", json.dumps(["brackets"], indent=2))
     got = texts(files.read_json(spark, str(tmp_path)))
-    assert got == ["a", "  s ", "b", "c", "p", "q", "one", "good"]
-    monkeypatch.setattr(files, "MAX_LISTED", 1)
-    assert texts(files.read_json(spark, str(tmp_path))) == got
+    assert got == ["a", "  s ", "b", "c", "p", "q", "one", "good", "brackets"]
     only = files.read_json_documents(spark, str(tmp_path / "b c.json"))
     assert texts(only) == ["p", "q"]
 
@@ -99,8 +96,10 @@ def test_mixed_directory(spark, tmp_path):
             "path string, block long, row long, item int, text string",
         )
 
+    skip = files.damaged_names(files.skipped_files(spark, str(tmp_path)))
+    assert [n.rsplit("/", 1)[1] for n in skip] == ["g.parquet"]
     got = files.ingest_mixed_dir(
-        spark, str(tmp_path), readers={select.SHEET_SUFFIXES: sheets}
+        spark, str(tmp_path), readers={select.SHEET_SUFFIXES: sheets}, skip=skip
     )
     names = ["csv", "json", "jsonl", "parquet", "sheet"]
     assert sorted(texts(got)) == sorted([f"from {n}" for n in names] + ["plain"])
@@ -108,6 +107,77 @@ def test_mixed_directory(spark, tmp_path):
     assert sorted(texts(flat)) == ["from json", "from jsonl"]
 
 
+STRICT = {
+    "[1,2] x": None, "[1],[2]": None, '[1]} {"a":[2]': None, "[1,2": None, "[1] ]": None, "[]": 0,
+    ' [1, {"a":1,"a":2}] ': 2, "[[1],[2]]": 2, "[NaN]": None, "['a']": None, '{"a":[1]}': 1, "[null]": 1,
+    "5": 1, "x": None, "": None, '"s" "t"': None,
+}
+
+
+def test_items_of_a_line_are_strict(spark):
+    lines = spark.createDataFrame([(k,) for k in STRICT], "line string")
+    got = J.with_items(lines, F.col("line"), "items").select("line", "items").collect()
+    assert {r["line"]: None if r["items"] is None else len(r["items"]) for r in got} == STRICT
+
+
+def test_large_values_are_not_taken_for_bad_ones(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(J, "VARIANT_BYTES", 50)
+    write(tmp_path / "a.jsonl", '{"text":"ok"}\n{"bad": ' + "x" * 100 + "\n{bad\n")
+    got = files.rejects(spark, str(tmp_path)).orderBy("line_no").collect()
+    assert [(r.line_no, r.reason) for r in got] == [(2, J.TOO_LARGE), (3, J.INVALID_JSON)]
+    with pytest.raises(Exception, match="JSON with a value above"):
+        files.read_jsonl(spark, str(tmp_path)).count()
+    write(tmp_path / "b" / "a.json", "[\n" + ",\n".join(['{"text":"t"}'] * 50) + "\n]")
+    assert files.read_json(spark, str(tmp_path / "b")).count() == 50
+
+
+def test_damaged_files_are_recorded(spark, tmp_path):
+    write(tmp_path / "in" / "a.jsonl", '{"text":"good"}\n')
+    for name, cut in (("b.jsonl.gz", 40), ("c.jsonl.gz", None)):
+        (tmp_path / "in" / name).write_bytes(gzip.compress(b'{"text":"packed"}\n' * 2000)[:cut])
+    parquet(tmp_path / "in" / "d.parquet", text=[f"row {i}" for i in range(1000)])
+    whole = (tmp_path / "in" / "d.parquet").read_bytes()
+    (tmp_path / "in" / "e.parquet").write_bytes(whole[: len(whole) // 2])
+    with pytest.raises(Exception):
+        files.read_parquet_column(spark, str(tmp_path / "in"), suffixes=select.PARQUET_SUFFIXES).count()
+    record = files.skipped_files(spark, str(tmp_path / "in"))
+    assert sorted(r["path"].rsplit("/", 1)[1] for r in record.collect()) == ["b.jsonl.gz", "e.parquet"]
+    assert all(r["reason"] for r in record.collect())
+    skip = files.damaged_names(record)
+    assert files.read_jsonl(spark, str(tmp_path / "in"), suffixes=[".jsonl", ".gz"], skip=skip).count() == 2001
+    convert_directory(spark, str(tmp_path / "in"), str(tmp_path / "out"), skip_damaged=True)
+    assert spark.read.json(f"{tmp_path}/out/data").count() == 1001
+    assert spark.read.json(f"{tmp_path}/out/skipped").count() == 2
+
+
+def test_quoted_header(spark, tmp_path):
+    write(tmp_path / "a.csv", '"a,b",text,"te""xt"\n1,first,x\n')
+    assert texts(files.read_csv_column(spark, str(tmp_path))) == ["first"]
+    assert texts(files.read_csv_column(spark, str(tmp_path), "a,b")) == ["1"]
+    assert texts(files.read_csv_column(spark, str(tmp_path), 'te"xt')) == ["x"]
+
+
+def test_part_files_are_in_corpus_order(spark, tmp_path):
+    want = []
+    for i in range(40):
+        own = [f"{i:03} {k}" for k in range(1 + (i % 7) * 30)]
+        want += own
+        write(tmp_path / "in" / f"{i:03}.jsonl", "\n".join(json.dumps({"text": t}) for t in own))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        convert_directory(spark, str(tmp_path / "in"), str(tmp_path / "out"), train_ratio=0.7)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+    def held(folder):
+        parts = sorted((tmp_path / "out" / folder).glob("part-*.json"))
+        return [json.loads(x)["text"] for p in parts for x in p.read_text().splitlines()]
+
+    assert held("data") == want
+    cut = int(len(want) * 0.7)
+    assert held("splits/split=train") == want[:cut] and held("splits/split=val") == want[cut:]
+
+
 def test_empty_directory(spark, tmp_path):
     write(tmp_path / "e.bin", "no")
     with pytest.raises(ValueError):

@@ -18,6 +18,11 @@ INVALID_JSON = "invalid JSON"
 MISSING_FIELD = "missing field"
 NOT_A_STRING = "not a string"
 EMPTY_TEXT = "empty text"
+TOO_LARGE = "value above 128 MiB"
+
+#: The most bytes that Spark parses into one VARIANT.
+VARIANT_BYTES = 128 << 20
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
 def strict_json(line: Column) -> Column:
@@ -35,12 +40,55 @@ def strict_json(line: Column) -> Column:
     return F.transform(F.array(in_array), only_element)[0]
 
 
+def strict_elements(line: Column) -> Column:
+    """The elements of a line that is exactly one JSON array, else null.
+
+    Every element is a VARIANT of its own, so the array may be of any size.
+    """
+    inside = F.from_json(
+        F.concat(F.lit("["), line, F.lit("]")), "array<array<variant>>", _STRICT
+    )
+    field = F.from_json(
+        F.concat(F.lit('{"v":'), line, F.lit("}")), "v array<variant>", _STRICT
+    )
+
+    def only(arrays: Column) -> Column:
+        return F.when((F.size(arrays) == 1) & field["v"].isNotNull(), arrays[0])
+
+    return F.transform(F.array(inside), only)[0]
+
+
+def is_too_large(line: Column) -> Column:
+    """Whether a line that did not parse may be JSON with a value above the limit."""
+    return F.octet_length(line) > VARIANT_BYTES
+
+
+def json_items(line: Column) -> Column:
+    """The elements of an array, or the one other value; null when the line is not JSON.
+
+    A line with a value above the limit is an error, as nobody can say what it holds.
+    """
+    single = F.transform(F.array(strict_json(line)), lambda v: F.when(v.isNotNull(), F.array(v)))
+    items = F.when(line.rlike(r"^[ \t\r\n]*\["), strict_elements(line)).otherwise(single[0])
+    failed = F.raise_error(F.lit(f"JSON with a {TOO_LARGE}"))
+
+    def loud(found: Column) -> Column:
+        return F.when(found.isNull() & is_too_large(line), failed).otherwise(found)
+
+    return F.transform(F.array(items), loud)[0]
+
+
 def with_json(df: DataFrame, line: Column, name: str) -> DataFrame:
-    """Add the parsed line as a column.
+    """Add the parsed line as a VARIANT column, with the generator of ``with_items``."""
+    return df.select("*", F.explode(F.array(strict_json(line))).alias(name))
+
+
+def with_items(df: DataFrame, line: Column, name: str) -> DataFrame:
+    """Add what ``json_items`` gives as a column.
 
     The generator keeps the optimizer from copying the parser into every later use.
     """
-    return df.select("*", F.explode(F.array(strict_json(line))).alias(name))
+    return df.select("*", F.explode(F.array(json_items(line))).alias(name))
 
 
 def json_kind(value: Column) -> Column:

@@ -18,14 +18,16 @@ from weftline.operators.tokens import ByteTokens, byte_count
 from weftline.session import materialize
 from weftline.sources.files import (
     ORDER,
+    damaged_names,
     ingest_mixed_dir,
     read_csv_column,
     read_json,
     read_jsonl,
     read_parquet_column,
     read_text_files,
+    skipped_files,
 )
-from weftline.sources.sinks import write_jsonl, write_split
+from weftline.sources.sinks import in_order, write_jsonl, write_split
 
 
 def convert_directory(
@@ -35,19 +37,27 @@ def convert_directory(
     column: str = "text",
     train_ratio: float | None = None,
     recursive: bool = True,
+    skip_damaged: bool = False,
 ) -> None:
-    """Mixed files to ``output/data`` and, with a ratio, ``output/split=train|val``.
+    """Mixed files to ``output/data`` and, with a ratio, ``output/splits/split=train|val``.
 
-    None means no split. The corpus is in order of path and place in the file.
+    None means no split. Part files in the order of their names hold the corpus in the
+    order of path and place in the file. With ``skip_damaged`` files that cannot be read
+    are recorded in ``output/skipped``, as path and reason, and left out; else they are
+    an error.
     """
-    texts = require_rows(
-        ingest_mixed_dir(spark, directory, column, recursive),
-        f"no supported files with text in {directory}",
-    )
+    skip = []
+    if skip_damaged:
+        skipped_files(spark, directory, recursive).write.mode("overwrite").json(f"{output}/skipped")
+        record = spark.read.schema("path string, reason string").json(f"{output}/skipped")
+        skip = damaged_names(record)
+    # parsed once; the steps below see the texts alone
+    parsed = materialize(ingest_mixed_dir(spark, directory, column, recursive, skip=skip), "texts")
+    texts = require_rows(parsed, f"no supported files with text in {directory}")
     corpus = dense_position(texts, ORDER, "pos")
-    write_jsonl(corpus, f"{output}/data", mode="overwrite")
+    write_jsonl(in_order(corpus, "pos"), f"{output}/data", mode="overwrite")
     if train_ratio is not None:
-        write_split(split_sequential(corpus, "pos", train_ratio), f"{output}/splits")
+        write_split(split_sequential(corpus, "pos", train_ratio), f"{output}/splits", order="pos")
 
 
 def convert_file(

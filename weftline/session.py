@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,11 +16,29 @@ SCRATCH_CONF = "spark.checkpoint.dir"
 def prepare_session(spark: SparkSession) -> SparkSession:
     """Set the SQL options the library relies on. All can be set at run time."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     # a JSON object with a repeated field keeps the last value, it is not an error
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once in a Spark application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    file = os.path.join(tempfile.mkdtemp(prefix="package-"), f"{package.name}.zip")
+    with zipfile.ZipFile(file, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(file)
+    _SHIPPED.add(context.applicationId)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by the cluster.
 

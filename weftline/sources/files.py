@@ -7,9 +7,12 @@ corpus; ``dense_position`` turns it into one number.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
-from urllib.parse import unquote
+import gzip
+import zlib
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +25,7 @@ from weftline.functions.text import (
     strip,
     universal_newlines,
 )
-from weftline.operators.ranks import div, with_rank, with_running
+from weftline.operators.ranks import div, with_rank
 from weftline.operators.select import (
     CSV_SUFFIXES,
     JSON_SUFFIXES,
@@ -34,9 +37,9 @@ from weftline.operators.select import (
 ORDER = ["path", "block", "row", "item"]
 COLUMNS = [*ORDER, "text"]
 MIB = 1 << 20
-# File names that may come to the driver, and the longest value Spark holds.
-MAX_LISTED = 10_000
-MAX_WHOLE = (1 << 31) - 1
+#: Spark holds no longer string, so no larger file is read as one value.
+WHOLE_BYTES = (1 << 31) - 1
+DAMAGED = 10_000
 
 
 def suffix_glob(suffixes: Iterable[str]) -> str:
@@ -66,14 +69,75 @@ def _placed(df: DataFrame) -> DataFrame:
     )
 
 
+def _kept(df: DataFrame, skip: Sequence[str]) -> DataFrame:
+    """Leave files out by name; the scan does not open them."""
+    return df.filter(~F.col("_metadata.file_path").isin(*skip)) if skip else df
+
+
+#: Formats in which a file can be damaged as a whole.
+CHECKED_SUFFIXES = (*PARQUET_SUFFIXES, ".gz")
+
+
+def skipped_files(
+    spark: SparkSession, path: str, recursive: bool = True
+) -> DataFrame:
+    """``(path, reason)`` of compressed and Parquet files that cannot be read.
+
+    Contents are decoded in full. A file that the store fails to deliver is an error, not
+    a damaged file; files above 2 GB are not looked at.
+    """
+    files = _reader(spark, CHECKED_SUFFIXES, recursive).format("binaryFile").load(path)
+    held = files.filter(F.col("_metadata.file_size") <= WHOLE_BYTES).select(
+        F.col("_metadata.file_path").alias("path"), "content"
+    )
+
+    def check(batches):
+        for batch in batches:
+            names = batch.column("path").to_pylist()
+            reasons = [
+                damage(name, content.as_buffer())
+                for name, content in zip(names, batch.column("content"), strict=True)
+            ]
+            yield pa.RecordBatch.from_pydict(
+                {"path": pa.array(names), "reason": pa.array(reasons, pa.string())}
+            )
+
+    return held.mapInArrow(check, "path string, reason string").filter("reason is not null")
+
+
+def damage(name: str, content: pa.Buffer) -> str | None:
+    """Why a file's content cannot be decoded, or null."""
+    try:
+        if name.lower().endswith(".gz"):
+            with gzip.GzipFile(fileobj=pa.BufferReader(content)) as plain:
+                while plain.read(MIB):
+                    pass
+        else:
+            for _ in pq.ParquetFile(pa.BufferReader(content)).iter_batches(1024):
+                pass
+    except (OSError, EOFError, zlib.error, pa.ArrowException) as error:
+        return f"{type(error).__name__}: {str(error).splitlines()[0][:200]}"
+    return None
+
+
+def damaged_names(skipped: DataFrame) -> list[str]:
+    """The names of damaged files, for ``skip``. There may not be more than 10,000."""
+    names = [r["path"] for r in skipped.select("path").limit(DAMAGED + 1).collect()]
+    if len(names) > DAMAGED:
+        raise ValueError(f"more than {DAMAGED} damaged files")
+    return names
+
+
 def read_text_files(
     spark: SparkSession,
     path: str,
     suffixes: Iterable[str] | None = None,
     recursive: bool = True,
+    skip: Sequence[str] = (),
 ) -> DataFrame:
     """One document per file: malformed UTF-8 dropped, stripped, blank files left out."""
     files = _reader(spark, suffixes, recursive).format("binaryFile").load(path)
+    files = _kept(files, skip)
     text = strip(universal_newlines(decode_utf8_ignore(F.col("content"))))
     zero = F.lit(0).cast("bigint")
     return files.select(
@@ -90,81 +154,72 @@ def read_csv_column(
     multi_line: bool = True,
     suffixes: Iterable[str] | None = None,
     recursive: bool = True,
+    skip: Sequence[str] = (),
 ) -> DataFrame:
     """The named column of CSV files with headers: stripped, blanks left out.
 
-    Each file's own header says where the column is; files without it give no rows.
-    Quoted line breaks make a file one task; set ``multi_line`` to False to split large
-    files that have none.
+    Each file's own header, its first line, says where the column is; files without it
+    give no rows. Quoted line breaks make a file one task; set ``multi_line`` to False to
+    split large files that have none.
     """
-    lines = _placed(_reader(spark, suffixes, recursive).text(path))
-    # the first line of each file, found by a scan that keeps one line per file
+    options = {"sep": delimiter, "quote": '"', "escape": '"'}
+    lines = _kept(_placed(_reader(spark, suffixes, recursive).text(path)), skip)
+    # the first line of each file; a scan keeps one line per file and split
     headers = lines.filter("block = 0").groupBy("path").agg(
-        F.min_by("value", "row").alias("header")
+        F.btrim(F.min_by("value", "row"), F.lit("\ufeff")).alias("header")
     )
-    names = F.split("header", delimiter, -1) if len(delimiter) == 1 else F.array("header")
+    # no header has more names than it has parts
     quoted = F.lit("\\Q" + delimiter + "\\E")
-    names = F.transform(
-        F.split("header", quoted, -1), lambda n: F.btrim(n, F.lit('"﻿'))
-    )
+    width = headers.agg(F.max(F.size(F.split("header", quoted, -1)))).first()[0] or 1
+    columns = [f"_c{i}" for i in range(width)]
+    schema = ", ".join(f"{c} string" for c in columns)
+    names = F.from_csv("header", schema, options)
+    headers = headers.select("path", F.array(*[names[c] for c in columns]).alias("names"))
     # the last of equal names wins, as in a dictionary of the row
-    at = F.size(names) - F.array_position(F.reverse(names), column).cast("int")
+    at = width - F.array_position(F.reverse("names"), column).cast("int")
     headers = headers.select(
-        "path",
-        F.size(names).alias("_width"),
-        F.when(F.array_contains(names, column), at).alias("_at"),
+        "path", F.when(F.array_contains("names", column), at).alias("_at")
     )
     facts = headers.agg(
-        F.max("_width").alias("width"),
         F.min("_at").alias("low"),
         F.max("_at").alias("high"),
         F.count("_at").alias("having"),
         F.count("*").alias("files"),
     ).first()
-    width = facts["width"] or 1
-    rows = _placed(
-        _reader(spark, suffixes, recursive)
-        .schema(", ".join(f"_c{i} string" for i in range(width)))
-        .options(
-            header=True,
-            enforceSchema=True,
-            multiLine=multi_line,
-            sep=delimiter,
-            quote='"',
-            escape='"',
-            emptyValue="",
-        )
-        .csv(path)
+    reader = _reader(spark, suffixes, recursive).schema(schema).options(
+        header=True, enforceSchema=True, multiLine=multi_line, emptyValue="", **options
     )
-    fields = F.array(*[f"_c{i}" for i in range(width)])
+    rows = _kept(_placed(reader.csv(path)), skip)
     if facts["having"] == facts["files"] and facts["low"] == facts["high"]:
-        text = F.col(f"_c{facts['low']}") if facts["files"] else F.col("_c0")
+        text = F.col(columns[facts["low"] or 0])
     else:
+        # a file's rows are many and its header is one: skewed files are split
         rows = rows.join(headers.filter("_at is not null"), "path")
-        text = F.get(fields, F.col("_at"))
+        text = F.get(F.array(*columns), F.col("_at"))
     text = strip(universal_newlines(text))
     return rows.withColumn("text", text).filter("text <> ''").select(*COLUMNS)
 
 
-def _json_texts(value: Column, field: str) -> Column:
-    """The texts of one JSON value: of an object, a string, or an array of those."""
+def _json_texts(items: Column, field: str) -> Column:
+    """The texts of objects and strings."""
 
     def text_of(item: Column) -> Column:
         from_object = F.nullif(strip(J.text_field(item, field)), F.lit(""))
         return F.coalesce(J.string_of(item), from_object)
 
-    items = F.coalesce(
-        F.try_variant_get(value, "$", "array<variant>"), F.array(value)
-    )
     return F.filter(F.transform(items, text_of), lambda t: t.isNotNull())
 
 
 def _json_lines(
-    spark: SparkSession, path: str, suffixes: Iterable[str] | None, recursive: bool
+    spark: SparkSession,
+    path: str,
+    suffixes: Iterable[str] | None,
+    recursive: bool,
+    skip: Sequence[str],
 ) -> DataFrame:
-    """Lines that are not blank, with ``value`` null where a line is not JSON."""
-    lines = _placed(_reader(spark, suffixes, recursive).text(path))
-    return J.with_json(lines.filter(has_text(F.col("value"))), F.col("value"), "json")
+    """Lines that are not blank, with ``json`` null where a line is not JSON."""
+    lines = _kept(_placed(_reader(spark, suffixes, recursive).text(path)), skip)
+    return J.with_items(lines.filter(has_text(F.col("value"))), F.col("value"), "json")
 
 
 def _texts(rows: DataFrame, field: str) -> DataFrame:
@@ -180,26 +235,15 @@ def read_jsonl(
     spark: SparkSession,
     path: str,
     field: str = "text",
-    on_error: str = "skip",
     suffixes: Iterable[str] | None = None,
     recursive: bool = True,
+    skip: Sequence[str] = (),
 ) -> DataFrame:
     """JSON lines: the field of an object, stripped and not blank, or a string as it is.
 
-    ``on_error`` says what a line that is not JSON costs: ``skip`` only itself,
-    ``prefix`` the rest of its file.
+    A line that is not JSON costs only itself.
     """
-    lines = _json_lines(spark, path, suffixes, recursive)
-    if on_error == "prefix":
-        lines = with_running(
-            lines,
-            ["block", "row"],
-            {"_bad": F.col("json").isNull().cast("bigint")},
-            by=["path"],
-            bucket=div(F.col("block"), MIB),
-        ).filter("_bad = 0")
-    elif on_error != "skip":
-        raise ValueError(f"unknown on_error {on_error!r}")
+    lines = _json_lines(spark, path, suffixes, recursive, skip)
     return _texts(lines.filter("json is not null"), field)
 
 
@@ -209,14 +253,16 @@ def read_json_documents(
     field: str = "text",
     suffixes: Iterable[str] | None = None,
     recursive: bool = True,
+    skip: Sequence[str] = (),
 ) -> DataFrame:
     """Files that each hold one JSON value: an array of objects or strings, or one object.
 
-    A file is one task and at most 2 GB; JSON lines have no such bound.
+    A file is one task and at most 2 GB, an element of an array at most 128 MiB; what is
+    larger is an error. JSON lines have no such bound.
     """
     reader = _reader(spark, suffixes, recursive)
-    files = _placed(reader.text(path, wholetext=True))
-    return _texts(J.with_json(files, F.col("value"), "json"), field)
+    files = _kept(_placed(reader.text(path, wholetext=True)), skip)
+    return _texts(J.with_items(files, F.col("value"), "json"), field)
 
 
 def read_json(
@@ -225,27 +271,24 @@ def read_json(
     field: str = "text",
     suffixes: Iterable[str] | None = None,
     recursive: bool = True,
+    skip: Sequence[str] = (),
 ) -> DataFrame:
     """JSON files of either kind: lines, or one value over several lines.
 
-    A file with a line that is not JSON is read whole, and counts as one value if it is
-    one; else its good lines count. Up to ``MAX_LISTED`` such files are read by name;
-    beyond that all files that can be one value are read whole and joined by name.
+    A file whose first line with text is not JSON is read whole, and counts as one value
+    if it is one; else its good lines count, as they do for any other file. A stored file
+    above 2 GB cannot be one value in Spark and is always taken by its lines.
     """
-    lines = _json_lines(spark, path, suffixes, recursive)
-    suspects = lines.filter("json is null").select("path").distinct()
-    listed = [r.path for r in suspects.limit(MAX_LISTED + 1).collect()]
+    lines = _json_lines(spark, path, suffixes, recursive, skip)
+    first = F.min_by(F.col("json").isNull(), F.struct("block", "row"))
+    suspects = lines.groupBy("path").agg(first.alias("suspect")).filter("suspect")
     good = lines.filter("json is not null")
-    if not listed:
+    if suspects.isEmpty():
         return _texts(good, field)
-    if len(listed) <= MAX_LISTED:
-        whole = spark.read.text([unquote(p) for p in listed], wholetext=True)
-        whole = _placed(whole)
-    else:
-        whole = _reader(spark, suffixes, recursive).text(path, wholetext=True)
-        whole = _placed(whole.filter(F.col("_metadata.file_size") < MAX_WHOLE))
-        whole = whole.join(suspects, "path", "left_semi")
-    whole = J.with_json(whole, F.col("value"), "json").filter("json is not null")
+    whole = _kept(_reader(spark, suffixes, recursive).text(path, wholetext=True), skip)
+    whole = _placed(whole.filter(F.col("_metadata.file_size") <= WHOLE_BYTES))
+    whole = whole.join(suspects.select("path"), "path", "left_semi")
+    whole = J.with_items(whole, F.col("value"), "json").filter("json is not null")
     by_line = good.join(whole.select("path"), "path", "left_anti")
     return _texts(by_line, field).unionByName(_texts(whole, field))
 
@@ -256,19 +299,20 @@ def read_parquet_column(
     column: str = "text",
     suffixes: Iterable[str] | None = None,
     recursive: bool = True,
+    skip: Sequence[str] = (),
 ) -> DataFrame:
     """The named string column, not blank, as it is; files without it give no rows.
 
-    Only that column is read. A file that cannot be read is skipped.
+    Only that column is read. A file that cannot be read is an error, unless ``skip`` names
+    it (see ``skipped_files``).
     """
     schema = T.StructType([T.StructField(column, T.StringType())])
     table = (
         _reader(spark, suffixes, recursive)
-        .option("ignoreCorruptFiles", True)
         .schema(schema)
         .parquet(path)
     )
-    return table.select(
+    return _kept(table, skip).select(
         F.col("_metadata.file_path").alias("path"),
         F.lit(0).cast("bigint").alias("block"),
         F.col("_metadata.row_index").alias("row"),
@@ -283,8 +327,9 @@ def ingest_mixed_dir(
     column: str = "text",
     recursive: bool = True,
     readers: Mapping[tuple[str, ...], Callable[..., DataFrame]] | None = None,
+    skip: Sequence[str] = (),
 ) -> DataFrame:
-    """Every supported file below a directory, by its extension in any case.
+    """Every supported file below a directory but ``skip``, by its extension in any case.
 
     ``readers`` adds formats (sheets, paged documents): a tuple of suffixes and a
     function ``(spark, directory, column, suffixes, recursive)`` that returns the
@@ -292,18 +337,18 @@ def ingest_mixed_dir(
     """
 
     def text_files(spark, path, column, suffixes, recursive):
-        return read_text_files(spark, path, suffixes, recursive)
+        return read_text_files(spark, path, suffixes, recursive, skip)
 
-    def csv(spark, path, column, suffixes, recursive):
-        return read_csv_column(
-            spark, path, column, suffixes=suffixes, recursive=recursive
+    def by_column(read):
+        return lambda spark, path, column, suffixes, recursive: read(
+            spark, path, column, suffixes=suffixes, recursive=recursive, skip=skip
         )
 
     formats = {
         TEXT_SUFFIXES: text_files,
-        CSV_SUFFIXES: csv,
-        JSON_SUFFIXES: read_json,
-        PARQUET_SUFFIXES: read_parquet_column,
+        CSV_SUFFIXES: by_column(read_csv_column),
+        JSON_SUFFIXES: by_column(read_json),
+        PARQUET_SUFFIXES: by_column(read_parquet_column),
         **(readers or {}),
     }
     return union_sources(
@@ -318,7 +363,8 @@ def parse_lines(df: DataFrame, line: str, field: str = "text") -> DataFrame:
     def checked(value: Column) -> Column:
         text = J.text_field(value, field)
         reason = (
-            F.when(value.isNull(), J.INVALID_JSON)
+            F.when(value.isNull() & J.is_too_large(F.col(line)), J.TOO_LARGE)
+            .when(value.isNull(), J.INVALID_JSON)
             .when(J.field_of(value, field).isNull(), J.MISSING_FIELD)
             .when(text.isNull(), J.NOT_A_STRING)
             .when(is_blank(text), J.EMPTY_TEXT)

@@ -18,8 +18,17 @@ def write_jsonl(
     df.select(F.col(text).alias("text")).write.mode(mode).json(path)
 
 
-def write_split(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """``path/split=train`` and ``path/split=val`` in one pass."""
+def in_order(df: DataFrame, *order: str, parts: int | None = None) -> DataFrame:
+    """Range partitions in key order: part files then follow it by name."""
+    placed = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    return placed.sortWithinPartitions(*order)
+
+
+def write_split(df: DataFrame, path: str, mode: str = "overwrite", order: str | None = None) -> None:
+    """``path/split=train`` and ``path/split=val`` in one pass, in key order if asked."""
+    if order is not None:
+        # the writer asks for rows by split; sorted by both it keeps the order
+        df = df.repartitionByRange(order).sortWithinPartitions("split", order)
     df.select("text", "split").write.mode(mode).partitionBy("split").json(path)
 
 
@@ -32,16 +41,14 @@ def write_packed_shards(
     shards: int | None = None,
     mode: str = "overwrite",
 ) -> None:
-    """Parquet shards in row order, none above ``max_shard_bytes`` of token ids.
+    """Parquet shards in row order, near and never above ``max_shard_bytes`` of token ids.
 
-    ``shards`` sets the number of range partitions, for shards near the limit; by
-    default Spark chooses it.
+    The number of shards follows from the number of rows, unless ``shards`` gives it.
+    Range partitions are not all alike, so they aim a tenth below the limit.
     """
     rows = max(1, max_shard_bytes // (2 * TOKEN_BYTES * length))
-    placed = (
-        df.repartitionByRange(shards, *order) if shards else df.repartitionByRange(*order)
-    )
-    placed.sortWithinPartitions(*order).write.mode(mode).option(
+    parts = shards or max(1, -(-df.count() * 10 // (rows * 9)))
+    in_order(df, *order, parts=parts).write.mode(mode).option(
         "maxRecordsPerFile", rows
     ).parquet(path)
 
