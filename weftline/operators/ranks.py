@@ -7,7 +7,7 @@ source) is cut into buckets too, so its size does not matter.
 
 Keys must be unique inside a group. Integer keys without large holes are cut by
 ``key div rows``, so no bucket has more than ``rows`` rows. Anything else (paths,
-composite keys, sparse ids) first goes through ``dense_position``.
+composite keys, sparse ids) goes through ``dense_position`` or ``with_any_rank``.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from weftline.session import materialize
 
 BUCKET_ROWS = 256
 FANOUT = 4096
+NULL_BUCKET = -(1 << 62)
 
 
 def div(a: Column, b: int | Column) -> Column:
@@ -40,8 +41,12 @@ def with_bucket(
     bucket: Column | None = None,
     rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """Add ``_bucket`` (and ``_by``, a struct, so that null groups join like others)."""
-    cols = {"_bucket": div(F.col(key), rows) if bucket is None else bucket}
+    """Add ``_bucket`` (and ``_by``, a struct, so that null groups join like others).
+
+    A null key comes first, in a bucket before all others.
+    """
+    bucket = div(F.col(key), rows) if bucket is None else bucket
+    cols = {"_bucket": F.coalesce(bucket.cast("bigint"), F.lit(NULL_BUCKET))}
     if by:
         cols["_by"] = F.struct(*by)
     return df.withColumns(cols)
@@ -152,6 +157,28 @@ def with_rank(
     return out.withColumn(name, F.col(name) - 1)
 
 
+def is_dense(df: DataFrame, key: str, rows: int = BUCKET_ROWS) -> bool:
+    """Whether a key is an integer without holes so large that buckets outnumber rows."""
+    if df.schema[key].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
+        return False
+    low, high, n = df.agg(F.min(key), F.max(key), F.count("*")).first()
+    return low is None or (high - low) // rows <= n
+
+
+def with_any_rank(
+    df: DataFrame, key: str, name: str = "rank", rows: int = BUCKET_ROWS
+) -> DataFrame:
+    """``with_rank`` for keys of any kind: strings, sparse or hashed numbers, nulls.
+
+    Where buckets by value would not do, the keys alone are range-partitioned and
+    numbered, and the rows meet their number by a join on the key.
+    """
+    if is_dense(df, key, rows):
+        return with_rank(df, key, name, rows=rows)
+    numbers = dense_position(df.select(F.struct(key).alias("_key")), ["_key"], name)
+    return df.withColumn("_key", F.struct(key)).join(numbers, "_key").select(*df.columns, name)
+
+
 def key_at_rank(
     df: DataFrame,
     key: str,

@@ -46,23 +46,27 @@ def optimizer_steps(
     ``micro_step`` counts from 0 in each epoch. What is left of an epoch after its last
     full accumulation makes no step.
     """
-    per_epoch = df.groupBy(run, epoch).agg(
+    # a struct, so that runs and epochs without a name join like others
+    df = df.withColumn("_epoch", F.struct(F.col(run).alias("run"), F.col(epoch).alias("epoch")))
+    per_epoch = df.groupBy("_epoch").agg(
         div(F.max(micro_step) + 1, accumulation).alias("_steps")
     )
-    earlier = W.partitionBy(run).orderBy(epoch).rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("_epoch.run").orderBy("_epoch.epoch").rowsBetween(
+        W.unboundedPreceding, -1
+    )
     before = per_epoch.select(
-        run, epoch, F.coalesce(F.sum("_steps").over(earlier), F.lit(0)).alias("_before")
+        "_epoch", F.coalesce(F.sum("_steps").over(earlier), F.lit(0)).alias("_before")
     )
     done = div(F.col(micro_step) + 1, accumulation)
     return (
-        df.join(before, [run, epoch])
+        df.join(before, "_epoch")
         .withColumns(
             {
                 "step": F.col("_before") + done,
                 "is_step": F.pmod(F.col(micro_step) + 1, F.lit(accumulation)) == 0,
             }
         )
-        .drop("_before")
+        .drop("_before", "_epoch")
     )
 
 
@@ -223,8 +227,8 @@ def early_stop(
     before. So each chunk is folded once from each possible state, in parallel, and
     becomes a table of ``patience`` entries. Those tables compose, again in chunks.
     """
-    if rows < patience:
-        raise ValueError("rows must be at least patience")
+    rows = max(rows, patience)
+    groups = df.select(F.struct(*by).alias("_group")).distinct()
     kept = df.filter(F.col(loss).isNotNull()).select(
         F.struct(*by).alias("_group"), F.col(step).alias("_step"), F.col(loss).alias("_loss")
     )
@@ -293,6 +297,7 @@ def early_stop(
         tables.groupBy("_group")
         .agg(parts.alias("_parts"))
         .select("_group", follow(F.col("_parts"), F.lit(0))["stop"].alias("_stop"))
+        .join(groups, "_group", "right")
         .select(
             *[F.col("_group")[c].alias(c) for c in by],
             F.col("_stop.idx").alias("stop_index"),

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.ranks import BUCKET_ROWS, div, key_at_rank, with_rank
+from weftline.operators.ranks import (
+    BUCKET_ROWS,
+    div,
+    is_dense,
+    key_at_rank,
+    with_any_rank,
+    with_rank,
+)
 
 
 def split_sequential(
@@ -13,8 +20,14 @@ def split_sequential(
 ) -> DataFrame:
     """Add ``split``: ``train`` for the first ``int(n * ratio)`` rows, else ``val``.
 
-    Only the first validation key is looked up; the rows themselves are not shuffled.
+    Only the first validation key is looked up; the rows themselves are not shuffled,
+    unless the key is a string or has large holes, so that its rows must be numbered.
     """
+    if not is_dense(df, key, rows):
+        total = df.agg(F.count("*").cast("bigint")).scalar()
+        ranked = with_any_rank(df, key, "_rank", rows)
+        is_val = F.col("_rank") >= (total * F.lit(float(ratio))).cast("bigint")
+        return ranked.withColumn("split", F.when(is_val, "val").otherwise("train")).drop("_rank")
     train_rows = (F.col("total") * F.lit(float(ratio))).cast("bigint")
     cut = key_at_rank(df, key, train_rows, rows=rows).scalar()
     is_val = F.coalesce(F.col(key) >= cut, F.lit(False))
@@ -23,6 +36,8 @@ def split_sequential(
 
 def first_rows(df: DataFrame, key: str, n: int, rows: int = BUCKET_ROWS) -> DataFrame:
     """The first ``n`` rows in key order, as a filter on the key of row ``n``."""
+    if not is_dense(df, key, rows):
+        return with_any_rank(df, key, "_rank", rows).filter(F.col("_rank") < n).drop("_rank")
     cut = key_at_rank(df, key, F.lit(n).cast("bigint"), rows=rows).scalar()
     return df.filter(F.coalesce(F.col(key) < cut, F.lit(True)))
 
@@ -33,7 +48,7 @@ def shard_rows(
     """Every ``num_shards``-th row in key order, from ``index`` on."""
     if not 0 <= index < num_shards:
         raise ValueError("index must be in [0, num_shards)")
-    ranked = with_rank(df, key, "_rank", rows=rows)
+    ranked = with_any_rank(df, key, "_rank", rows)
     return ranked.filter(F.pmod("_rank", F.lit(num_shards)) == index).drop("_rank")
 
 
@@ -77,7 +92,7 @@ def distributed_sampler(
     if shuffle:
         ranked = shuffle_epoch(df, key, seed, epoch, "_rank")
     else:
-        ranked = with_rank(df, key, "_rank", rows=rows)
+        ranked = with_any_rank(df, key, "_rank", rows)
     total = df.agg(F.count("*")).scalar()
     padded = F.ceil(total / replicas).cast("bigint") * replicas
     places = F.sequence(F.col("_rank"), padded - 1, total)

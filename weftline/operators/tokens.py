@@ -237,14 +237,17 @@ def tokenize_vocab(
 ) -> DataFrame:
     """``(key, ids)`` by looking every word up in ``vocab`` (a written table, best).
 
-    Words that are not there get ``unknown``, or are left out when it is None.
+    Words that are not there get ``unknown``, or are left out when it is None. A null text
+    has no ids.
     """
-    words = df.select(key, F.posexplode(words_of(F.col(text))).alias("_at", "word"))
+    # the texts move once; their words are then brought together where they are
+    texts = df.select(key, text).repartition(key)
+    words = texts.select(key, F.posexplode_outer(words_of(F.col(text))).alias("_at", "word"))
     coded = _look_up(words, vocab, "word", "id", broadcast_words)
-    if unknown is not None:
-        coded = coded.fillna({"id": unknown})
-    pair = F.struct("_at", F.col("id").cast("int").alias("id"))
-    pairs = F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), pair)))
+    code = F.coalesce("id", F.lit(unknown))
+    pair = F.struct("_at", code.cast("int").alias("id"))
+    is_word = F.col("_at").isNotNull() & code.isNotNull()
+    pairs = F.array_sort(F.collect_list(F.when(is_word, pair)))
     return (
         coded.groupBy(key)
         .agg(pairs.alias("_pairs"))
@@ -255,8 +258,12 @@ def tokenize_vocab(
 def detokenize_vocab(
     df: DataFrame, vocab: DataFrame, key: str, broadcast_words: int = BROADCAST_WORDS
 ) -> DataFrame:
-    """``(key, text)`` from ``(key, ids)``; ids that are not in ``vocab`` are skipped."""
-    tokens = df.select(key, F.posexplode("ids").alias("_at", "id"))
+    """``(key, text)`` from ``(key, ids)``; ids that are not in ``vocab`` are skipped.
+
+    No ids give an empty text.
+    """
+    rows = df.select(key, "ids").repartition(key)
+    tokens = rows.select(key, F.posexplode_outer("ids").alias("_at", "id"))
     vocab = vocab.withColumn("id", F.col("id").cast("int"))
     words = _look_up(tokens, vocab, "id", "word", broadcast_words)
     pair = F.when(F.col("word").isNotNull(), F.struct("_at", "word"))

@@ -332,6 +332,32 @@ def shard_rows(spark, sf_dir):
     return split.shard_rows(docs, "doc_id", 4, 1)
 
 
+@query(
+    """SELECT url, page_id FROM (SELECT *, row_number() OVER (ORDER BY url, page_id) - 1 AS r
+    FROM (SELECT url, min(page_id) AS page_id FROM pages GROUP BY url)) WHERE r % 3 = 2"""
+)
+def shard_by_url(spark, sf_dir):
+    """Keys that are strings."""
+    pages = table(spark, sf_dir, "pages").groupBy("url").agg(F.min("page_id").alias("page_id"))
+    return split.shard_rows(pages, "url", 3, 2)
+
+
+@query(
+    """WITH h AS (SELECT doc_id, ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT AS h
+        FROM documents)
+    SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY h)
+    <= floor((SELECT count(*) FROM documents) * 0.9::DOUBLE) THEN 'train' ELSE 'val' END
+    AS split FROM h"""
+)
+def split_by_hash(spark, sf_dir):
+    """Keys that are numbers far apart."""
+    digest = F.md5(F.col("doc_id").cast("string"))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint").alias("h")
+    )
+    return split.split_sequential(docs, "h", 0.9).select("doc_id", "split")
+
+
 @query(
     """WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:0:' || doc_id), doc_id)
         - 1 AS r FROM documents), n AS (SELECT count(*) AS n FROM documents)

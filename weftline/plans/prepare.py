@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions.text import text_hash
@@ -14,7 +14,7 @@ from weftline.operators.pack import pack_batches
 from weftline.operators.ranks import BUCKET_ROWS, dense_position, div, with_rank
 from weftline.operators.select import require_rows
 from weftline.operators.split import distributed_sampler, split_sequential
-from weftline.operators.tokens import ByteTokens, byte_count
+from weftline.operators.tokens import EOS, ArrayTokens, ByteTokens, byte_count
 from weftline.session import materialize
 from weftline.sources.files import (
     ORDER,
@@ -115,6 +115,7 @@ def place_mixture(
     mode: str = "random",
     seed: int = 42,
     rows: int = BUCKET_ROWS,
+    end: int | None = EOS,
 ) -> DataFrame:
     """``(key, pos, n_tokens)`` of every document that is left after mixing and dedup.
 
@@ -126,7 +127,7 @@ def place_mixture(
         key,
         source,
         text_hash(F.col(text)).alias("hash"),
-        byte_count(F.col(text)).alias("n_tokens"),
+        byte_count(F.col(text), end is not None).alias("n_tokens"),
     )
     mixed = interleave(
         materialize(narrow, "narrow"), weights, key, source, mode, seed, rows
@@ -151,17 +152,25 @@ def mix_dedup_pack(
     seed: int = 42,
     drop_short: bool = False,
     rows: int = BUCKET_ROWS,
+    tokenizer: Callable[[Column], Column] | None = None,
+    end: int | None = EOS,
 ) -> DataFrame:
-    """Weighted mixture, exact dedup over the mixture, byte tokens, packed batches.
+    """Weighted mixture, exact dedup over the mixture, tokens, packed batches.
 
     The places of the documents are worked out and written down first; the texts then
-    move twice, once to meet their place and once into their bucket.
+    move twice, once to meet their place and once into their bucket. Tokens are bytes,
+    unless ``tokenizer`` makes an ``array<int>`` of the text; it runs once for each
+    document that is left, and its ids are written down. ``end`` follows each document.
     """
     places = materialize(
-        place_mixture(df, weights, key, source, text, mode, seed, rows), "places"
+        place_mixture(df, weights, key, source, text, mode, seed, rows, end), "places"
     )
     docs = df.select(key, text).join(places, key)
-    tokens = ByteTokens(F.col(text), size=F.col("n_tokens"))
+    if tokenizer is not None:
+        ids = materialize(docs.select("pos", tokenizer(F.col(text)).alias("ids")), "ids")
+        tokens = ArrayTokens(F.coalesce("ids", F.array().cast("array<int>")), end)
+        return pack_batches(ids, tokens, "pos", length, batch_docs, drop_short, rows=rows)
+    tokens = ByteTokens(F.col(text), end, size=F.col("n_tokens"))
     return pack_batches(
         docs, tokens, "pos", length, batch_docs, drop_short, rows=rows, sizes=places
     )

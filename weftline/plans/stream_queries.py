@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from weftline.plans.registry import query, table
 from weftline.plans.token_queries import (
+    BATCH_DOCS,
     LENGTH,
     PACK_BATCHES_SQL,
     PADDED_SQL,
@@ -36,6 +37,7 @@ def stream_standardize(spark, sf_dir):
 
 @query("SELECT DISTINCT md5(text) AS md5 FROM documents")
 def stream_dedup(spark, sf_dir):
+    jobs.use_rocksdb(spark)
     stream = documents_stream(spark, sf_dir).select("doc_id", "text")
     return run(spark, jobs.stream_dedup(stream)).select(F.md5("text").alias("md5"))
 
@@ -48,8 +50,22 @@ def stream_tokenize(spark, sf_dir):
 
 @query(PACK_BATCHES_SQL)
 def stream_pack(spark, sf_dir):
+    """Four files in the order of their ids, a micro-batch each; no batch ends with one."""
     path = scratch_path(spark, "stream-pack")
-    stream = documents_stream(spark, sf_dir).select("doc_id", "text")
-    writer = jobs.stream_pack(stream, f"{path}/out", ["doc_id"], length=LENGTH)
-    jobs.run_available(writer, f"{path}/progress")
-    return packed_summary(spark.read.parquet(f"{path}/out"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    last = docs.agg(F.max("doc_id")).first()[0]
+    for i in range(4):
+        part = docs.filter((F.col("doc_id") * 4 > last * i - (i == 0)) & (F.col("doc_id") * 4 <= last * (i + 1)))
+        part.coalesce(1).write.parquet(f"{path}/in/{i}")
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in/*")
+    writer = jobs.stream_pack(stream, f"{path}/out", ["doc_id"], length=LENGTH, batch_docs=BATCH_DOCS)
+    epoch = jobs.run_available(writer, f"{path}/progress")
+    jobs.finish_pack(spark, f"{path}/out", docs.schema, epoch, ["doc_id"], length=LENGTH)
+    return packed_summary(spark.read.parquet(f"{path}/out/packed"))
+
+
+@query("""SELECT doc_id, lang FROM documents
+    WHERE ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 3 = 1""")
+def stream_shard(spark, sf_dir):
+    stream = documents_stream(spark, sf_dir).select("doc_id", "lang")
+    return run(spark, jobs.stream_shard(stream, "doc_id", 3, 1))

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from weftline.operators import pack, tokens
+from weftline.operators import mapping, pack, tokens
 from weftline.plans import prepare
 from weftline.plans.corpus_queries import LANG_WEIGHTS, quota_sql
 from weftline.plans.registry import query, table
 from weftline.session import materialize
 
 LENGTH = 1024
+BATCH_DOCS = 64
 
 
 def ids_md5(ids: Column) -> Column:
@@ -73,13 +75,17 @@ def truncate_pad(spark, sf_dir):
     return padded_summary(tokens.truncate_pad(ids, "ids", 2048))
 
 
+def byte_tokenizer():
+    return lambda text: list(text.encode("utf-8"))
+
+
 @query(
     f"""SELECT doc_id, octet_length(encode(text))::BIGINT AS n,
     {duck_md5("regexp_extract_all(hex(encode(text)), '..')")} AS ids FROM documents"""
 )
 def tokenize_udf(spark, sf_dir):
     """A Python tokenizer: here one that gives the UTF-8 bytes."""
-    encode = tokens.tokenizer_udf(lambda: lambda text: list(text.encode("utf-8")))
+    encode = tokens.tokenizer_udf(byte_tokenizer)
     ids = documents(spark, sf_dir).select("doc_id", encode("text").alias("ids"))
     return ids.select(
         "doc_id", F.size("ids").cast("bigint").alias("n"), ids_md5(F.col("ids")).alias("ids")
@@ -105,7 +111,8 @@ def build_vocab(spark, sf_dir):
 def tokenize_vocab(spark, sf_dir):
     docs = documents(spark, sf_dir)
     vocab = materialize(tokens.build_vocab(docs), "vocab")
-    return tokens.tokenize_vocab(docs, vocab, "doc_id").select(
+    # few enough that the looked-up words do not all fit the broadcast
+    return tokens.tokenize_vocab(docs, vocab, "doc_id", broadcast_words=1000).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n"),
         ids_md5(F.col("ids")).alias("ids"),
@@ -117,7 +124,7 @@ def detokenize_vocab(spark, sf_dir):
     docs = documents(spark, sf_dir)
     vocab = materialize(tokens.build_vocab(docs), "vocab")
     ids = tokens.tokenize_vocab(docs, vocab, "doc_id")
-    return tokens.detokenize_vocab(ids, vocab, "doc_id")
+    return tokens.detokenize_vocab(ids, vocab, "doc_id", broadcast_words=1000)
 
 
 def batch_sql(documents_cte: str, length: int = LENGTH) -> str:
@@ -125,8 +132,8 @@ def batch_sql(documents_cte: str, length: int = LENGTH) -> str:
     return f"""{documents_cte},
     l AS (SELECT rank, {duck_tokens('100')} AS l FROM d),
     t AS (SELECT rank, unnest(l) AS tok, generate_subscripts(l, 1) AS i FROM l),
-    p AS (SELECT rank // 1000 AS batch_id, tok, row_number() OVER (
-        PARTITION BY rank // 1000 ORDER BY rank, i) - 1 AS p FROM t),
+    p AS (SELECT rank // {BATCH_DOCS} AS batch_id, tok, row_number() OVER (
+        PARTITION BY rank // {BATCH_DOCS} ORDER BY rank, i) - 1 AS p FROM t),
     s AS (SELECT batch_id, count(*) AS total FROM p GROUP BY batch_id)
     SELECT batch_id, p // {length} AS block, count(*) AS n,
     md5(string_agg(('0x' || tok)::INTEGER::VARCHAR, ' ' ORDER BY p)) AS ids FROM p JOIN s USING (batch_id)
@@ -150,8 +157,19 @@ def packed_summary(df):
 
 def packed_batches(spark, sf_dir):
     return pack.pack_batches(
-        documents(spark, sf_dir), tokens.ByteTokens(F.col("text")), "doc_id", LENGTH
+        documents(spark, sf_dir), tokens.ByteTokens(F.col("text")), "doc_id", LENGTH, BATCH_DOCS
+    )
+
+
+@query(PACK_BATCHES_SQL)
+def pack_udf(spark, sf_dir):
+    """Ids of a Python tokenizer, made once for each document and written down."""
+    encode = tokens.tokenizer_udf(byte_tokenizer)
+    ids = documents(spark, sf_dir).select("doc_id", encode("text").alias("ids"))
+    packed = pack.pack_batches(
+        materialize(ids, "ids"), tokens.ArrayTokens(F.col("ids"), tokens.EOS), "doc_id", LENGTH, BATCH_DOCS
     )
+    return packed_summary(packed)
 
 
 @query(PACK_BATCHES_SQL)
@@ -213,27 +231,79 @@ def pack_vocab(spark, sf_dir):
 
 @query(
     f"""WITH b AS ({PACK_BATCHES_SQL})
-    SELECT count(*) AS rows, count(*) FILTER (n <> {LENGTH}) AS bad_input_ids,
-    count(*) FILTER (n <> {LENGTH}) AS bad_labels, 0::BIGINT AS unequal FROM b"""
+    SELECT count(*) AS rows, count(*) FILTER (n <> {LENGTH} OR block % 10 = 3) AS bad_input_ids,
+    count(*) FILTER (n <> {LENGTH} OR block % 7 = 2) AS bad_labels,
+    count(*) FILTER (block % 10 = 3 OR block % 7 = 2) AS unequal FROM b"""
 )
 def check_packed(spark, sf_dir):
-    return pack.check_packed(packed_batches(spark, sf_dir), LENGTH)
-
-
-@query(
-    batch_sql(
-        quota_sql("lang", LANG_WEIGHTS)
-        + """, f AS (SELECT x.*, row_number() OVER (
+    """Some rows lack their last id, others have no labels."""
+    packed = packed_batches(spark, sf_dir).withColumns({
+        "input_ids": F.when(
+            F.col("block") % 10 == 3, F.slice("input_ids", 1, F.size("input_ids") - 1)
+        ).otherwise(F.col("input_ids")),
+        "labels": F.when(F.col("block") % 7 != 2, F.col("labels")),
+    })
+    return pack.check_packed(packed, LENGTH)
+
+
+MIX_SQL = batch_sql(
+    quota_sql("lang", LANG_WEIGHTS)
+    + """, f AS (SELECT x.*, row_number() OVER (
             PARTITION BY md5(text) ORDER BY mix_key, idx) AS rn, text
             FROM x JOIN documents USING (doc_id)),
         d AS (SELECT row_number() OVER (ORDER BY mix_key, idx) - 1 AS rank, text
             FROM f WHERE rn = 1)"""
-    )
 )
+
+
+@query(MIX_SQL)
 def mix_dedup_pack(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return packed_summary(
         prepare.mix_dedup_pack(
-            docs, LANG_WEIGHTS, "doc_id", "lang", length=LENGTH, mode="quota"
+            docs, LANG_WEIGHTS, "doc_id", "lang", length=LENGTH, batch_docs=BATCH_DOCS,
+            mode="quota",
         )
     )
+
+
+@query(MIX_SQL)
+def mix_dedup_pack_udf(spark, sf_dir):
+    """The same job with a Python tokenizer, which here gives the same ids."""
+    docs = table(spark, sf_dir, "documents")
+    return packed_summary(
+        prepare.mix_dedup_pack(
+            docs, LANG_WEIGHTS, "doc_id", "lang", length=LENGTH, batch_docs=BATCH_DOCS,
+            mode="quota", tokenizer=tokens.tokenizer_udf(byte_tokenizer),
+        )
+    )
+
+
+@query("SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents")
+def map_batches(spark, sf_dir):
+    """A Python function that makes rows of lines."""
+    return mapping.map_batches(documents(spark, sf_dir), split_lines, "doc_id long, line string")
+
+
+def split_lines():
+    def split(batch):
+        rows = [
+            (key, line)
+            for key, text in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True)
+            for line in (text or "").split("\n")
+        ]
+        yield pa.RecordBatch.from_pylist(
+            [{"doc_id": key, "line": line} for key, line in rows],
+            pa.schema([("doc_id", pa.int64()), ("line", pa.string())]),
+        )
+
+    return split
+
+
+@query(PADDED_SQL.replace("'101'", "'100'"))
+def pad_with_end(spark, sf_dir):
+    """A tokenizer without a padding id pads with its end marker."""
+    ids = documents(spark, sf_dir).select(
+        "doc_id", tokens.tokenize_bytes(F.col("text")).alias("ids")
+    )
+    return padded_summary(tokens.truncate_pad(ids, "ids", 2048, pad=None))

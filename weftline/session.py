@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -47,7 +48,7 @@ def scratch_dir(spark: SparkSession) -> str:
     path = spark.conf.get(SCRATCH_CONF, None)
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError(f"set {SCRATCH_CONF} to a folder shared by all executors")
     path = tempfile.mkdtemp(prefix="weftline-")
     spark.conf.set(SCRATCH_CONF, path)

@@ -20,6 +20,7 @@ def stream_files(spark: SparkSession, path: str, schema: StructType) -> DataFram
 
     The file source takes a plain path for a folder, a pattern for either.
     """
+    path = path.rstrip("/")
     pattern = f"{path[:-1]}[{path[-1]}]"
     return spark.readStream.schema(schema).parquet(pattern)
 

@@ -7,14 +7,16 @@ the stored position.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 
 from weftline.functions.text import has_text, text_hash
 from weftline.operators.pack import pack_batches
 from weftline.operators.ranks import dense_position
 from weftline.operators.tokens import ByteTokens, Tokens, tokenize_bytes, truncate_pad
+from weftline.session import scratch_path
 
 STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -31,15 +33,31 @@ def stream_standardize(
     return out.filter(has_text(F.col("text")))
 
 
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keep the state of streams that start from now on in RocksDB, in this session."""
+    spark.conf.set(STATE_STORE_CONF, ROCKSDB)
+
+
+def stream_shard(stream: DataFrame, key: str, num_shards: int, index: int) -> DataFrame:
+    """The rows of one shard, dealt by a hash of the key: a stream has no row numbers.
+
+    Every row is in one shard, the same at every run. A null key counts as an empty one.
+    """
+    if not 0 <= index < num_shards:
+        raise ValueError("index must be in [0, num_shards)")
+    digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
+    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return stream.filter(F.pmod(number, F.lit(num_shards)) == index)
+
+
 def stream_dedup(
     stream: DataFrame, text: str = "text", event_time: str | None = None, delay: str | None = None
 ) -> DataFrame:
     """First arrival of every text. The state holds 16-byte hashes, not texts.
 
-    It grows with the distinct texts, so it is kept in RocksDB. With ``event_time`` and
+    It grows with the distinct texts, so let ``use_rocksdb`` keep it on disk. With ``event_time`` and
     ``delay`` a hash is forgotten after that time, and later copies pass again.
     """
-    stream.sparkSession.conf.set(STATE_STORE_CONF, ROCKSDB)
     hashed = stream.withColumn("hash", text_hash(F.col(text)))
     if event_time is None:
         return hashed.dropDuplicates(["hash"])
@@ -62,27 +80,72 @@ def stream_pack(
     length: int = 4096,
     batch_docs: int = 1000,
 ) -> DataStreamWriter:
-    """Pack every micro-batch on its own into ``path/epoch=N``.
+    """Pack batches of ``batch_docs`` documents that run on through the stream.
 
-    A micro-batch that runs again after a failure replaces its own folder.
+    Rows go in micro-batches, then by ``order``. What does not fill a batch waits in
+    ``path/carry`` for the next micro-batch; packed rows are in ``path/packed/epoch=N``.
+    When the stream is over, ``finish_pack`` packs the rest as the short last batch. A
+    micro-batch that runs again after a failure replaces its own folders.
     """
     tokens = tokens or ByteTokens(F.col("text"))
+    schema, spark = stream.schema, stream.sparkSession
 
     def pack(rows: DataFrame, epoch: int) -> None:
-        numbered = dense_position(rows, order, "_pos")
-        packed = pack_batches(numbered, tokens, "_pos", length, batch_docs)
-        packed.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        # the session of a micro-batch plans without statistics; what follows is batch work
+        arrived = scratch_path(spark, "arrived")
+        rows.write.parquet(arrived)
+        rows = spark.read.schema(schema).parquet(arrived)
+        waiting, done = _carried(spark, path, schema, epoch - 1)
+        new = waiting.withColumn("_new", F.lit(False)).unionByName(rows.withColumn("_new", F.lit(True)))
+        numbered = dense_position(new, ["_new", *order], "_pos").drop("_new")
+        batches = numbered.count() // batch_docs
+        full = batches * batch_docs
+        packed = pack_batches(numbered.filter(F.col("_pos") < full), tokens, "_pos", length, batch_docs)
+        packed = packed.withColumn("batch_id", F.col("batch_id") + done)
+        packed.write.mode("overwrite").parquet(f"{path}/packed/epoch={epoch}")
+        rest = numbered.filter(F.col("_pos") >= full).drop("_pos")
+        rest.write.mode("overwrite").parquet(f"{path}/carry/epoch={epoch}")
+        counted = spark.range(1).select(F.lit(done + batches).cast("bigint").alias("batches"))
+        counted.write.mode("overwrite").json(f"{path}/done/epoch={epoch}")
 
     return stream.writeStream.foreachBatch(pack)
 
 
+def _carried(spark: SparkSession, path: str, schema: StructType, epoch: int) -> tuple[DataFrame, int]:
+    """The rows that wait after an epoch, and the number of batches packed by then."""
+    if epoch < 0:
+        return spark.createDataFrame([], schema), 0
+    done = spark.read.schema("batches long").json(f"{path}/done/epoch={epoch}").first()
+    return spark.read.schema(schema).parquet(f"{path}/carry/epoch={epoch}"), done["batches"]
+
+
+def finish_pack(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    last_epoch: int,
+    order: list[str],
+    tokens: Tokens | None = None,
+    length: int = 4096,
+) -> None:
+    """Pack what ``stream_pack`` has left after its last epoch as one short batch."""
+    rest, done = _carried(spark, path, schema, last_epoch)
+    tokens = tokens or ByteTokens(F.col("text"))
+    numbered = dense_position(rest, order, "_pos")
+    # fewer rows than a batch: one segment whatever its size
+    packed = pack_batches(numbered, tokens, "_pos", length, 1 << 40)
+    packed = packed.withColumn("batch_id", F.col("batch_id") + done)
+    packed.write.mode("overwrite").parquet(f"{path}/packed/epoch=rest")
+
+
 def to_parquet(stream: DataFrame, path: str) -> DataStreamWriter:
     return stream.writeStream.format("parquet").outputMode("append").option("path", path)
 
 
-def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
-    """Run over everything there is, then stop."""
+def run_available(writer: DataStreamWriter, checkpoint: str) -> int:
+    """Run over everything there is, then stop; gives the last epoch, -1 if none ran."""
     query = (
         writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    return query.lastProgress["batchId"] if query.lastProgress else -1
