@@ -38,7 +38,7 @@ WIDTH, SIMILAR = 5, 0.8
 #: Chance to bring a pair of exactly SIMILAR together, and MinHash values in a band.
 RECALL, ROWS = 0.999, 7
 #: Largest bucket that gives pairs, and classes in a block of a larger one.
-SMALL, BLOCK = 24, 512
+SMALL, BLOCK = 24, 256
 #: Columns of a product of matrices at a time.
 COLUMNS = 16_384
 
