@@ -41,16 +41,15 @@ def test_standardize_and_tokenize(spark, tmp_path):
     assert {r.i: r.input_ids for r in ids.collect()}[0] == [97, 256, 257]
 
 
-def test_packing_per_micro_batch(spark, tmp_path):
+def test_packing_goes_on_after_a_restart(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    tokens = ByteTokens(F.col("text"))
+    rows = [(i, "en", f"text {i}") for i in range(10)]
     for part in range(2):
-        rows = [(part * 10 + i, "en", f"text {part} {i}") for i in range(5)]
-        add(spark, source, rows)
+        add(spark, source, rows[part * 5 : part * 5 + 5])
         stream = stream_files(spark, source, spark.read.parquet(source).schema)
         writer = jobs.stream_pack(stream, out, ["i"], length=8, batch_docs=3)
-        jobs.run_available(writer, str(tmp_path / "log"))
-        numbered = spark.createDataFrame(rows, SCHEMA).withColumn("pos", F.col("i") - part * 10)
-        want = pack_batches(numbered, tokens, "pos", 8, 3).collect()
-        got = spark.read.parquet(f"{out}/epoch={part}").collect()
-        assert sorted(got) == sorted(want)
+        last = jobs.run_available(writer, str(tmp_path / "log"))
+    jobs.finish_pack(spark, out, stream.schema, last, ["i"], length=8)
+    want = pack_batches(spark.createDataFrame(rows, SCHEMA), ByteTokens(F.col("text")), "i", 8, 3)
+    got = spark.read.parquet(f"{out}/packed").select(*want.columns)
+    assert sorted(got.collect()) == sorted(want.collect())

@@ -123,21 +123,22 @@ def place_mixture(
     a few dozen bytes per document. They look at them more than once, so these are
     written down, and the text is read and hashed once.
     """
+    # names of its own, so that no key or source clashes with what mixing adds
     narrow = df.filter(F.col(source).isin(*weights)).select(
-        key,
-        source,
+        F.col(key).alias("_doc"),
+        F.col(source).alias("_source"),
         text_hash(F.col(text)).alias("hash"),
         byte_count(F.col(text), end is not None).alias("n_tokens"),
     )
     mixed = interleave(
-        materialize(narrow, "narrow"), weights, key, source, mode, seed, rows
+        materialize(narrow, "narrow"), weights, "_doc", "_source", mode, seed, rows
     )
     kept = first_of_hash(mixed, "hash", ["mix_key", "mix_index"])
-    kept = materialize(kept.select(key, "mix_key", "mix_index", "n_tokens"), "kept")
+    kept = materialize(kept.select("_doc", "mix_key", "mix_index", "n_tokens"), "kept")
     per_row = TICKS if mode == "random" else 2 / sum(weights.values())
     bucket = F.floor(F.col("mix_key") / (per_row * rows)).cast("bigint")
     ranked = with_rank(kept, ["mix_key", "mix_index"], "pos", bucket=bucket)
-    return ranked.select(key, "pos", "n_tokens")
+    return ranked.select(F.col("_doc").alias(key), "pos", "n_tokens")
 
 
 def mix_dedup_pack(
