@@ -198,7 +198,8 @@ def near_duplicates(
         "classes",
     )
     spread = classes.select("class", "size", F.posexplode("bands").alias("band", "hash"))
-    sizes = spread.groupBy("band", "hash").agg(F.count("*").alias("count")).where("count > 1")
+    # written, so that adaptive execution can split a large bucket in the join
+    sizes = written(spread.groupBy("band", "hash").agg(F.count("*").alias("count")).where("count > 1"), "sizes")
     buckets = written(spread.join(sizes, ["band", "hash"]), "buckets")
 
     hot = buckets.where(F.col("count") > small)
@@ -254,7 +255,7 @@ def near_duplicates(
         .withColumn("root", F.coalesce("root", "class"))
     )
     found = written(found.where("copies > 1 or links > 0 or root <> class"), "found")
-    named = found.groupBy("root").agg(F.min("least").alias("class_id"))
+    named = written(found.groupBy("root").agg(F.min("least").alias("class_id")), "named")
     # a root whose own row was left out has no copies and no links, and so names no other row
     facts = found.join(named, "root").select("class", "class_id", F.col("least").alias("copy_id"), "copies", "links")
     return _answers(signed.select("key", "class"), facts, key)
