@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weftline.llm import secret_scan
 from weftline.llm.blocks import remainder
 from weftline.llm.decontaminate import find_leaks
+from weftline.llm.html_main import extract, learn_weights
 from weftline.llm.langid import identify, learn_languages
 from weftline.llm.lm_score import score
 from weftline.llm.ngram_join import near_duplicates
@@ -15,6 +16,7 @@ from weftline.llm.packing import cut_pieces, pack
 from weftline.llm.pii import digest
 from weftline.llm.quality import learn_quality, score_quality
 from weftline.llm.registry import query, table
+from weftline.llm.spelling import frequent, typed_words, variants
 from weftline.llm.store import written
 from weftline.llm.topk_search import top_k
 from weftline.llm.toxicity import learn_toxicity, score_toxicity
@@ -107,3 +109,14 @@ def packed(docs: DataFrame) -> DataFrame:
     # written once: the number of groups needs a count, and tokens are dear
     pieces = written(cut_pieces(docs).withColumnRenamed("part", "piece"), "pieces")
     return pack(pieces, columns=("doc_id", "piece", "start", "ids_crc32"))
+
+
+@query()
+def op11_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages, learn_weights(pages))
+
+
+@query()
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(frequent(typed_words(table(spark, sf_dir, "documents"))))
