@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm import secret_scan
 from weftline.llm.blocks import remainder
+from weftline.llm.collocations import collocations
 from weftline.llm.decontaminate import find_leaks
 from weftline.llm.html_main import extract, learn_weights
 from weftline.llm.langid import identify, learn_languages
@@ -120,3 +121,46 @@ def op11_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(frequent(typed_words(table(spark, sf_dir, "documents"))))
+
+
+@query("""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents
+    ), words AS (
+        SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM pieces
+    ), one AS (
+        SELECT lang, x, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM words) GROUP BY ALL
+    ), two AS (
+        SELECT lang, g[1] AS x, g[2] AS y, count(*) AS f
+        FROM (SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: [w[i], w[i + 1]])) AS g FROM words) GROUP BY ALL
+    ), three AS (
+        SELECT lang, g[1] AS x, g[2] AS y, g[3] AS z, count(*) AS f
+        FROM (SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: [w[i], w[i + 1], w[i + 2]])) AS g FROM words)
+        GROUP BY ALL HAVING count(*) >= 10
+    ), longer AS (
+        SELECT lang, x, y, max(f) AS f
+        FROM (SELECT lang, x, y, f FROM three UNION ALL SELECT lang, y, z, f FROM three) GROUP BY ALL
+    ), cuts AS (
+        SELECT c.lang, c.x || ' ' || c.y AS phrase, c.f AS a, p.f AS l, q.f AS r, 1 AS k
+        FROM two c JOIN one p ON c.lang = p.lang AND c.x = p.x JOIN one q ON c.lang = q.lang AND c.y = q.x
+        LEFT JOIN longer o ON c.lang = o.lang AND c.x = o.x AND c.y = o.y
+        WHERE c.f >= 10 AND (o.f IS NULL OR 100 * o.f < 50 * c.f)
+        UNION ALL
+        SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z, c.f, p.f, q.f, 1
+        FROM three c JOIN one p ON c.lang = p.lang AND c.x = p.x JOIN two q ON c.lang = q.lang AND c.y = q.x AND c.z = q.y
+        UNION ALL
+        SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z, c.f, p.f, q.f, 2
+        FROM three c JOIN two p ON c.lang = p.lang AND c.x = p.x AND c.y = p.y JOIN one q ON c.lang = q.lang AND c.z = q.x
+    ), scored AS (
+        SELECT *, CAST((CAST(a AS HUGEINT) * a * 1000000) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts
+    ), lowest AS (
+        SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest
+    ), totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM one GROUP BY lang)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+""")
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
