@@ -34,6 +34,32 @@ def test_any_key(spark):
     assert shards == [167, 167, 167]
 
 
+def test_repeated_keys(spark):
+    """Every row counts once, whatever its key."""
+    strings = spark.createDataFrame([(k, i) for i, k in enumerate(["a", "a", "b", None, None])], "k string, n int")
+    split_rows = split.split_sequential(strings, "k", 0.6).collect()
+    assert sorted(r["n"] for r in split_rows) == [0, 1, 2, 3, 4]
+    train = {r["n"] for r in split_rows if r["split"] == "train"}
+    assert len(train) == 3 and {3, 4} < train and 2 not in train
+    far = spark.createDataFrame([(10**15, 0), (10**15, 1), (5, 2)], "k long, n int")
+    near = spark.createDataFrame([(k % 7 or None, k) for k in range(600)], "k long, n int")
+    text = spark.createDataFrame([(("x" * (k % 5)) or None, k) for k in range(200)], "k string, n int")
+    for df in (strings, far, near, text):
+        size = df.count()
+        shards = [split.shard_rows(df, "k", 4, i).collect() for i in range(4)]
+        assert sorted(r["n"] for s in shards for r in s) == list(range(size))
+        assert max(map(len, shards)) - min(map(len, shards)) <= 1
+        for n in (0, 1, 2, size // 2, size - 1, size, size + 1):
+            first = split.first_rows(df, "k", n).collect()
+            assert len({r["n"] for r in first}) == len(first) == min(n, size)
+            keys = sorted((r["k"] is not None, r["k"] or 0) for r in df.collect())
+            assert sorted((r["k"] is not None, r["k"] or 0) for r in first) == keys[:n]
+        sampled = split.distributed_sampler(df, "k", 3, shuffle=False)
+        assert sampled.count() == -(-size // 3) * 3 and sampled.select("n").distinct().count() == size
+    assert ranks.is_unique(spark.createDataFrame([(k,) for k in [None, *range(-70, 200, 3)]], "k long"), "k")
+    assert not ranks.is_unique(spark.createDataFrame([(None,), (None,), (3,)], "k long"), "k")
+
+
 def test_runs_without_a_name_or_a_loss(spark):
     log = spark.createDataFrame(
         [(None, 0, 0), (None, 0, 1), ("a", None, 0), ("a", 1, 0)], "run string, epoch int, micro_step long"

@@ -7,7 +7,8 @@ source) is cut into buckets too, so its size does not matter.
 
 Keys must be unique inside a group. Integer keys without large holes are cut by
 ``key div rows``, so no bucket has more than ``rows`` rows. Anything else (paths,
-composite keys, sparse ids) goes through ``dense_position`` or ``with_any_rank``.
+composite keys, sparse or repeated ids) goes through ``dense_position``, ``with_any_rank``
+or ``first_part``, which number rows, not keys.
 """
 
 from __future__ import annotations
@@ -165,18 +166,30 @@ def is_dense(df: DataFrame, key: str, rows: int = BUCKET_ROWS) -> bool:
     return low is None or (high - low) // rows <= n
 
 
+def is_unique(df: DataFrame, key: str) -> bool:
+    """Whether an integer key never repeats; nulls count as equal.
+
+    64 neighbouring values make one row of the shuffle: their number and their bits.
+    """
+    word = F.shiftright(F.col(key).cast("bigint"), 6)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(key).bitwiseAND(63).cast("int"))
+    words = df.groupBy(word.alias("word")).agg(F.count("*").alias("n"), F.bit_or(bit).alias("bits"))
+    repeated = words.filter(F.col("n") > F.coalesce(F.bit_count("bits"), F.lit(1)))
+    return repeated.isEmpty()
+
+
 def with_any_rank(
     df: DataFrame, key: str, name: str = "rank", rows: int = BUCKET_ROWS
 ) -> DataFrame:
-    """``with_rank`` for keys of any kind: strings, sparse or hashed numbers, nulls.
+    """``with_rank`` for keys of any kind: strings, sparse or hashed numbers, nulls, repeats.
 
-    Where buckets by value would not do, the keys alone are range-partitioned and
-    numbered, and the rows meet their number by a join on the key.
+    Every row has a number of its own. Where buckets by value would not do, or keys
+    repeat, the rows are range-partitioned and written in that order, so that rows with
+    one key keep theirs.
     """
-    if is_dense(df, key, rows):
+    if is_dense(df, key, rows) and is_unique(df, key):
         return with_rank(df, key, name, rows=rows)
-    numbers = dense_position(df.select(F.struct(key).alias("_key")), ["_key"], name)
-    return df.withColumn("_key", F.struct(key)).join(numbers, "_key").select(*df.columns, name)
+    return dense_position(df, [key], name)
 
 
 def key_at_rank(
@@ -200,15 +213,47 @@ def key_at_rank(
         .filter("_at >= 0 and _at < n")
     )
     # ``found`` has at most one row: the offsets cut the ranks into disjoint parts
-    inside = W.partitionBy("_bucket").orderBy(key)
-    return (
+    counts = (
         base.join(F.broadcast(found.select("_bucket", "_at")), "_bucket")
-        .withColumn("_rn", F.row_number().over(inside) - 1)
-        .filter("_rn = _at")
+        .groupBy(key, "_bucket", "_at")
+        .agg(F.count("*").alias("n"))
+    )
+    before = F.sum("n").over(W.partitionBy("_bucket").orderBy(key)) - F.col("n")
+    return (
+        counts.withColumn("_before", before)
+        .filter("_before <= _at and _at < _before + n")
         .select(F.col(key).alias("cut"))
     )
 
 
+def _is_before(key: str, value: Column) -> Column:
+    return (F.col(key).isNull() & value.isNotNull()) | F.coalesce(F.col(key) < value, F.lit(False))
+
+
+def first_part(
+    df: DataFrame, key: str, n: int, name: str, rows: int = BUCKET_ROWS
+) -> DataFrame:
+    """Add a flag for the first ``n`` rows in key order, nulls first.
+
+    The flag is a filter on the key at rank ``n``, for which keys alone are moved. Rows are
+    shuffled only if the cut goes through several rows with that key, and then only those.
+    """
+    if is_dense(df, key, rows):
+        cut = key_at_rank(df, key, F.lit(n).cast("bigint"), rows=rows).first()
+    else:
+        numbers = dense_position(df.select(F.col(key).alias("cut")), ["cut"], "_at")
+        cut = numbers.filter(F.col("_at") == n).first()
+    if cut is None:
+        return df.withColumn(name, F.lit(True))
+    value = F.lit(cut["cut"]).cast(df.schema[key].dataType)
+    before, same = _is_before(key, value), F.col(key).eqNullSafe(value)
+    inside = n - df.filter(before).count()
+    if not inside:
+        return df.withColumn(name, before)
+    tied = dense_position(df.filter(same), [key], "_at").withColumn(name, F.col("_at") < inside)
+    return df.filter(~same).withColumn(name, before).unionByName(tied.drop("_at"))
+
+
 def dense_position(
     df: DataFrame, order: Sequence[str | Column], name: str = "pos"
 ) -> DataFrame:

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from weftline.operators.ranks import (
     BUCKET_ROWS,
     div,
-    is_dense,
-    key_at_rank,
+    first_part,
     with_any_rank,
     with_rank,
 )
@@ -20,26 +19,16 @@ def split_sequential(
 ) -> DataFrame:
     """Add ``split``: ``train`` for the first ``int(n * ratio)`` rows, else ``val``.
 
-    Only the first validation key is looked up; the rows themselves are not shuffled,
-    unless the key is a string or has large holes, so that its rows must be numbered.
+    Only the first validation key is looked up; the rows themselves are not shuffled. Rows
+    with that key are numbered if the cut goes through them.
     """
-    if not is_dense(df, key, rows):
-        total = df.agg(F.count("*").cast("bigint")).scalar()
-        ranked = with_any_rank(df, key, "_rank", rows)
-        is_val = F.col("_rank") >= (total * F.lit(float(ratio))).cast("bigint")
-        return ranked.withColumn("split", F.when(is_val, "val").otherwise("train")).drop("_rank")
-    train_rows = (F.col("total") * F.lit(float(ratio))).cast("bigint")
-    cut = key_at_rank(df, key, train_rows, rows=rows).scalar()
-    is_val = F.coalesce(F.col(key) >= cut, F.lit(False))
-    return df.withColumn("split", F.when(is_val, "val").otherwise("train"))
+    train = first_part(df, key, int(df.count() * ratio), "_train", rows)
+    return train.withColumn("split", F.when(F.col("_train"), "train").otherwise("val")).drop("_train")
 
 
 def first_rows(df: DataFrame, key: str, n: int, rows: int = BUCKET_ROWS) -> DataFrame:
     """The first ``n`` rows in key order, as a filter on the key of row ``n``."""
-    if not is_dense(df, key, rows):
-        return with_any_rank(df, key, "_rank", rows).filter(F.col("_rank") < n).drop("_rank")
-    cut = key_at_rank(df, key, F.lit(n).cast("bigint"), rows=rows).scalar()
-    return df.filter(F.coalesce(F.col(key) < cut, F.lit(True)))
+    return first_part(df, key, n, "_first", rows).filter("_first").drop("_first")
 
 
 def shard_rows(

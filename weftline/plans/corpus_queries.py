@@ -342,6 +342,33 @@ def shard_by_url(spark, sf_dir):
     return split.shard_rows(pages, "url", 3, 2)
 
 
+@query(
+    """SELECT url, count(*) AS n FROM (SELECT nullif(source, 'src_7') AS url,
+    row_number() OVER (ORDER BY nullif(source, 'src_7') NULLS FIRST) - 1 AS r FROM documents)
+    WHERE r % 3 = 2 GROUP BY url"""
+)
+def shard_by_source(spark, sf_dir):
+    """String keys that repeat, some of them null: every row is in one shard."""
+    key = F.nullif("source", F.lit("src_7")).alias("url")
+    docs = table(spark, sf_dir, "documents").select(key, "doc_id")
+    return split.shard_rows(docs, "url", 3, 2).groupBy("url").agg(F.count("*").alias("n"))
+
+
+@query(
+    """WITH h AS (SELECT CASE WHEN lang <> 'fr' THEN ('0x' || substr(md5(lang || source), 1, 15))::BIGINT END
+        AS h FROM documents)
+    SELECT h, split, count(*) AS n FROM (SELECT h, CASE WHEN row_number() OVER (ORDER BY h NULLS FIRST)
+    <= floor((SELECT count(*) FROM documents) * 0.6::DOUBLE) THEN 'train' ELSE 'val' END
+    AS split FROM h) GROUP BY ALL"""
+)
+def split_by_repeats(spark, sf_dir):
+    """Keys far apart that repeat, some of them null: the split has the exact number of rows."""
+    digest = F.md5(F.concat("lang", "source"))
+    h = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    docs = table(spark, sf_dir, "documents").select(F.when(F.col("lang") != "fr", h).alias("h"), "doc_id")
+    return split.split_sequential(docs, "h", 0.6).groupBy("h", "split").agg(F.count("*").alias("n"))
+
+
 @query(
     """WITH h AS (SELECT doc_id, ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT AS h
         FROM documents)
