@@ -83,6 +83,16 @@ def with_json(df: DataFrame, line: Column, name: str) -> DataFrame:
     return df.select("*", F.explode(F.array(strict_json(line))).alias(name))
 
 
+def with_loud_json(df: DataFrame, line: Column, name: str) -> DataFrame:
+    """Like ``with_json``, where a value above the limit is an error, as nobody can say what it holds."""
+    failed = F.raise_error(F.lit(f"JSON with a {TOO_LARGE}"))
+
+    def loud(found: Column) -> Column:
+        return F.when(found.isNull() & is_too_large(line), failed).otherwise(found)
+
+    return df.select("*", F.explode(F.transform(F.array(strict_json(line)), loud)).alias(name))
+
+
 def with_items(df: DataFrame, line: Column, name: str) -> DataFrame:
     """Add what ``json_items`` gives as a column.
 

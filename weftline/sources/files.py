@@ -10,6 +10,7 @@ from __future__ import annotations
 import gzip
 import zlib
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from functools import partial
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -33,6 +34,8 @@ from weftline.operators.select import (
     TEXT_SUFFIXES,
     union_sources,
 )
+from weftline.session import materialize
+from weftline.sources import ranges
 
 ORDER = ["path", "block", "row", "item"]
 COLUMNS = [*ORDER, "text"]
@@ -64,7 +67,7 @@ def _placed(df: DataFrame) -> DataFrame:
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
-        F.lit(0).alias("item"),
+        F.lit(0).cast("bigint").alias("item"),
         *df.columns,
     )
 
@@ -141,11 +144,23 @@ def read_text_files(
     text = strip(universal_newlines(decode_utf8_ignore(F.col("content"))))
     zero = F.lit(0).cast("bigint")
     return files.select(
-        "path", zero.alias("block"), zero.alias("row"), F.lit(0).alias("item"),
+        "path", zero.alias("block"), zero.alias("row"), F.lit(0).cast("bigint").alias("item"),
         text.alias("text"),
     ).filter("text <> ''")
 
 
+def _csv_records(lines: DataFrame, delimiter: str) -> tuple[DataFrame, DataFrame]:
+    """Records ``(path, record, value)`` that may hold quoted line breaks, and ``(path, header)``."""
+    csv = ranges.CsvLines(delimiter)
+    found = materialize(ranges.facts(lines, partial(ranges.CsvFacts, csv), ranges.CsvFacts.schema), "csv-ranges")
+
+    def start(first: dict) -> ranges.CsvCutter:
+        return ranges.CsvCutter(csv, first["state"])
+
+    records = ranges.cut(lines, ranges.csv_states(found), start, "\n")
+    return records, found.filter("block = 0").select("path", "header")
+
+
 def read_csv_column(
     spark: SparkSession,
     path: str,
@@ -158,56 +173,50 @@ def read_csv_column(
 ) -> DataFrame:
     """The named column of CSV files with headers: stripped, blanks left out.
 
-    Each file's own header, its first line, says where the column is; files without it
-    give no rows. Quoted line breaks make a file one task; set ``multi_line`` to False to
-    split large files that have none.
+    Each file's own header, its first record, says where the column is; files without it
+    give no rows. Large files are many tasks. Quoted line breaks need a first pass over the
+    lines, which finds the open quotes and the headers; with ``multi_line`` False that pass
+    only looks for headers, and a line is a record.
     """
     options = {"sep": delimiter, "quote": '"', "escape": '"'}
     lines = _kept(_placed(_reader(spark, suffixes, recursive).text(path)), skip)
-    # the first line of each file; a scan keeps one line per file and split
-    headers = lines.filter("block = 0").groupBy("path").agg(
-        F.btrim(F.min_by("value", "row"), F.lit("\ufeff")).alias("header")
-    )
+    if multi_line:
+        records, headers = _csv_records(lines, delimiter)
+        records = records.select(
+            "path", F.lit(0).cast("bigint").alias("block"), F.col("record").alias("row"), F.lit(0).cast("bigint").alias("item"), "value"
+        )
+    else:
+        headers = lines.filter("block = 0").groupBy("path").agg(F.min_by("value", "row").alias("header"), F.min("row").alias("_first"))
+        headers = materialize(headers, "csv-headers")
+        records = lines.select("path", "block", "row", "item", "value")
+    headers = headers.withColumn("header", F.btrim("header", F.lit("\ufeff")))
     # no header has more names than it has parts
     quoted = F.lit("\\Q" + delimiter + "\\E")
     width = headers.agg(F.max(F.size(F.split("header", quoted, -1)))).first()[0] or 1
     columns = [f"_c{i}" for i in range(width)]
     schema = ", ".join(f"{c} string" for c in columns)
     names = F.from_csv("header", schema, options)
-    headers = headers.select("path", F.array(*[names[c] for c in columns]).alias("names"))
+    named = headers.withColumn("names", F.array(*[names[c] for c in columns]))
     # the last of equal names wins, as in a dictionary of the row
     at = width - F.array_position(F.reverse("names"), column).cast("int")
-    headers = headers.select(
-        "path", F.when(F.array_contains("names", column), at).alias("_at")
-    )
-    facts = headers.agg(
-        F.min("_at").alias("low"),
-        F.max("_at").alias("high"),
-        F.count("_at").alias("having"),
-        F.count("*").alias("files"),
-    ).first()
-    reader = _reader(spark, suffixes, recursive).schema(schema).options(
-        header=True, enforceSchema=True, multiLine=multi_line, emptyValue="", **options
-    )
-    rows = _kept(_placed(reader.csv(path)), skip)
-    if facts["having"] == facts["files"] and facts["low"] == facts["high"]:
-        text = F.col(columns[facts["low"] or 0])
-    else:
-        # a file's rows are many and its header is one: skewed files are split
-        rows = rows.join(headers.filter("_at is not null"), "path")
-        text = F.get(F.array(*columns), F.col("_at"))
+    headers = named.select("path", at.alias("_at"), *([] if multi_line else ["_first"])).filter(F.array_contains("names", column))
+    # a file's rows are many and its header is one: skewed files are split
+    rows = records.join(headers, "path")
+    rows = rows.filter("row > 0") if multi_line else rows.filter("block > 0 or row <> _first")
+    fields = F.from_csv("value", schema, options)
+    text = F.get(F.array(*[fields[c] for c in columns]), F.col("_at"))
     text = strip(universal_newlines(text))
     return rows.withColumn("text", text).filter("text <> ''").select(*COLUMNS)
 
 
 def _json_texts(items: Column, field: str) -> Column:
-    """The texts of objects and strings."""
+    """The texts of objects and strings, null for other items."""
 
     def text_of(item: Column) -> Column:
         from_object = F.nullif(strip(J.text_field(item, field)), F.lit(""))
         return F.coalesce(J.string_of(item), from_object)
 
-    return F.filter(F.transform(items, text_of), lambda t: t.isNotNull())
+    return F.transform(items, text_of)
 
 
 def _json_lines(
@@ -223,12 +232,9 @@ def _json_lines(
 
 
 def _texts(rows: DataFrame, field: str) -> DataFrame:
-    return rows.select(
-        "path",
-        "block",
-        "row",
-        F.posexplode(_json_texts(F.col("json"), field)).alias("item", "text"),
-    )
+    texts = F.posexplode(_json_texts(F.col("json"), field)).alias("item", "text")
+    found = rows.select("path", "block", "row", texts).filter("text is not null")
+    return found.withColumn("item", F.col("item").cast("bigint"))
 
 
 def read_jsonl(
@@ -247,6 +253,70 @@ def read_jsonl(
     return _texts(lines.filter("json is not null"), field)
 
 
+def _only(placed: DataFrame, paths: DataFrame, keep: bool) -> DataFrame:
+    """The rows of the given files, or of all others.
+
+    Up to ``DAMAGED`` names become a filter on files, so that the scan opens no other.
+    """
+    names = [r["path"] for r in paths.limit(DAMAGED + 1).collect()]
+    if len(names) > DAMAGED:
+        return placed.join(paths, "path", "left_semi" if keep else "left_anti")
+    listed = F.col("_metadata.file_path").isin(*names) if names else F.lit(False)
+    return placed.filter(listed if keep else ~listed)
+
+
+def _json_values(fragments: DataFrame, states: DataFrame, field: str) -> DataFrame:
+    """Texts of the files that ``states`` knows as one JSON value each: the columns of this module.
+
+    A file with an element that is not JSON gives one row without text. An element
+    above 128 MiB is an error.
+    """
+
+    def start(first: dict) -> ranges.JsonCutter:
+        return ranges.JsonCutter(first["state"], first["depth"], 1 if first["kind"] == ranges.ARRAY else -1)
+
+    records = ranges.cut(fragments, states, start, ",")
+    files = states.groupBy("path").agg(F.max("total").alias("total"), F.max("kind").alias("kind"))
+    records = records.join(files, "path")
+    in_array = F.col("kind") == ranges.ARRAY
+    value = F.regexp_replace("value", "^\ufeff", "")
+    value = F.when(in_array & (F.col("record") == 0), F.regexp_replace(value, r"^[ \t\r\n]*\[", "")).otherwise(value)
+    last = in_array & (F.col("record") == F.col("total"))
+    value = F.when(last, F.regexp_replace(value, r"\][ \t\r\n]*$", "")).otherwise(value)
+    records = records.withColumn("value", value)
+    # an array without elements
+    records = records.filter(~(in_array & (F.col("total") == 0) & is_blank(F.col("value"))))
+    parsed = J.with_loud_json(records, F.col("value"), "json")
+    text = _json_texts(F.array("json"), field)
+    zero = F.lit(0).cast("bigint")
+    found = parsed.select(
+        "path", zero.alias("block"), zero.alias("row"), F.col("record").alias("item"), F.get(text, F.lit(0)).alias("text"),
+        F.col("json").isNull().alias("_broken"),
+    )
+    found = found.filter("_broken or text is not null")
+    return materialize(found, "json-values")
+
+
+def _json_files(
+    spark: SparkSession,
+    path: str | list[str],
+    suffixes: Iterable[str] | None,
+    recursive: bool,
+    skip: Sequence[str],
+    field: str,
+) -> tuple[DataFrame, DataFrame]:
+    """Texts of the files that are one JSON value, and the paths of those files."""
+    source = _reader(spark, suffixes, recursive).option("lineSep", ",").text(path)
+    fragments = _kept(_placed(source), skip)
+    found = ranges.facts(fragments, lambda block: ranges.JsonFacts(), ranges.JsonFacts.schema)
+    states = materialize(ranges.json_states(materialize(found, "json-ranges")), "json-states")
+    paths = states.select("path").distinct()
+    values = _json_values(_only(fragments, paths, True), states, field)
+    broken = values.filter("_broken").select("path").distinct()
+    good = values.join(broken, "path", "left_anti").drop("_broken")
+    return good, paths.join(broken, "path", "left_anti")
+
+
 def read_json_documents(
     spark: SparkSession,
     path: str | list[str],
@@ -257,40 +327,36 @@ def read_json_documents(
 ) -> DataFrame:
     """Files that each hold one JSON value: an array of objects or strings, or one object.
 
-    A file is one task and at most 2 GB, an element of an array at most 128 MiB; what is
-    larger is an error. JSON lines have no such bound.
+    Files may be of any size and large ones are many tasks, see ``ranges``. An element of an
+    array, or an object, is at most 128 MiB; what is larger is an error. ``item`` is the place in the
+    array. Files that are not one value give no rows, but for lines that are (an object on one line).
     """
-    reader = _reader(spark, suffixes, recursive)
-    files = _kept(_placed(reader.text(path, wholetext=True)), skip)
-    return _texts(J.with_items(files, F.col("value"), "json"), field)
+    return read_json(spark, path, field, suffixes, recursive, skip, by_line=False)
 
 
 def read_json(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     field: str = "text",
     suffixes: Iterable[str] | None = None,
     recursive: bool = True,
     skip: Sequence[str] = (),
+    by_line: bool = True,
 ) -> DataFrame:
     """JSON files of either kind: lines, or one value over several lines.
 
-    A file whose first line with text is not JSON is read whole, and counts as one value
-    if it is one; else its good lines count, as they do for any other file. A stored file
-    above 2 GB cannot be one value in Spark and is always taken by its lines.
+    A file that is one array, or one object over several lines, counts as that value; of any
+    other the good lines count. A first pass over the bytes finds out which, whatever the
+    size of a file; no file is read as one string.
     """
-    lines = _json_lines(spark, path, suffixes, recursive, skip)
-    first = F.min_by(F.col("json").isNull(), F.struct("block", "row"))
-    suspects = lines.groupBy("path").agg(first.alias("suspect")).filter("suspect")
-    good = lines.filter("json is not null")
-    if suspects.isEmpty():
-        return _texts(good, field)
-    whole = _kept(_reader(spark, suffixes, recursive).text(path, wholetext=True), skip)
-    whole = _placed(whole.filter(F.col("_metadata.file_size") <= WHOLE_BYTES))
-    whole = whole.join(suspects.select("path"), "path", "left_semi")
-    whole = J.with_items(whole, F.col("value"), "json").filter("json is not null")
-    by_line = good.join(whole.select("path"), "path", "left_anti")
-    return _texts(by_line, field).unionByName(_texts(whole, field))
+    values, paths = _json_files(spark, path, suffixes, recursive, skip, field)
+    others = _only(_kept(_placed(_reader(spark, suffixes, recursive).text(path)), skip), paths, False)
+    lines = others.filter(has_text(F.col("value")))
+    if not by_line:
+        # a file of one line is one value too
+        lines = lines.join(lines.groupBy("path").agg(F.count("*").alias("_n")).filter("_n = 1"), "path", "left_semi")
+    lines = J.with_items(lines, F.col("value"), "json").filter("json is not null")
+    return _texts(lines, field).unionByName(values)
 
 
 def read_parquet_column(
@@ -316,7 +382,7 @@ def read_parquet_column(
         F.col("_metadata.file_path").alias("path"),
         F.lit(0).cast("bigint").alias("block"),
         F.col("_metadata.row_index").alias("row"),
-        F.lit(0).alias("item"),
+        F.lit(0).cast("bigint").alias("item"),
         F.col(column).alias("text"),
     ).filter(has_text(F.col("text")))
 
