@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import json as J
 from weftline.functions.text import decode_utf8_ignore, strip
+from weftline.functions.text import universal_newlines as newlines
 from weftline.operators import counts, dedup, mix, select, split
 from weftline.operators.tokens import SPACE, ByteTokens
 from weftline.plans.registry import query, table
@@ -173,10 +174,18 @@ def filter_extension(spark, sf_dir):
     return select.filter_extension(pages, allowed=[".HTML"])
 
 
-@query("SELECT doc_id, lang FROM documents WHERE lang = 'de'")
+@query("SELECT doc_id, lang FROM documents")
 def require_rows(spark, sf_dir):
-    docs = select.filter_language(table(spark, sf_dir, "documents"), "de")
-    return select.require_rows(docs.select("doc_id", "lang"), "no German documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return select.require_rows(docs, "no documents")
+
+
+@query("SELECT doc_id, text FROM documents")
+def universal_newlines(spark, sf_dir):
+    """Line ends of three kinds."""
+    ends = F.element_at(F.array(F.lit("\r\n"), F.lit("\r"), F.lit("\n")), (F.col("doc_id") % 3 + 1).cast("int"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.replace("text", F.lit("\n"), ends).alias("text"))
+    return docs.select("doc_id", newlines(F.col("text")).alias("text"))
 
 
 @query(f"SELECT doc_id, {duck_strip('text')} AS text FROM documents")

@@ -38,15 +38,15 @@ def micro_log(spark, sf_dir):
 
 @query(
     LOG_CTE
-    + """ SELECT event_id, run, epoch, round(1.2345678e-8 + avg(loss) OVER (PARTITION BY run, epoch
-    ORDER BY event_id ROWS UNBOUNDED PRECEDING), 6) AS avg_loss FROM log"""
+    + """, w AS (SELECT event_id, run, epoch, round(loss * 100)::BIGINT AS cents FROM log)
+    SELECT event_id, run, epoch, (sum(cents) OVER so_far)::DOUBLE / count(*) OVER so_far AS avg_loss FROM w
+    WINDOW so_far AS (PARTITION BY run, epoch ORDER BY event_id ROWS UNBOUNDED PRECEDING)"""
 )
 def running_avg_loss(spark, sf_dir):
-    out = runlog.running_avg_loss(events_log(spark, sf_dir), step="event_id")
-    # losses are cents, so means can lie half-way between two rounded values; the small
-    # number added on both sides keeps the last bit of a sum from deciding
-    rounded = F.round(F.col("avg_loss") + 1.2345678e-8, 6)
-    return out.select("event_id", "run", "epoch", rounded.alias("avg_loss"))
+    """Losses as whole cents, whose sums are exact in any order."""
+    log = events_log(spark, sf_dir).withColumn("loss", F.round(F.col("loss") * 100).cast("double"))
+    out = runlog.running_avg_loss(log, step="event_id")
+    return out.select("event_id", "run", "epoch", "avg_loss")
 
 
 STEPS_SQL = (
@@ -102,8 +102,7 @@ def best_checkpoint(spark, sf_dir):
     return runlog.best_checkpoint(log, "value", "event_id")
 
 
-@query(
-    """WITH RECURSIVE r AS (SELECT user_id AS run, event_id, value AS loss, row_number() OVER (
+EARLY_STOP_SQL = """WITH RECURSIVE r AS (SELECT user_id AS run, event_id, value AS loss, row_number() OVER (
         PARTITION BY user_id ORDER BY event_id) - 1 AS idx FROM events),
     f AS (SELECT run, 0::BIGINT AS idx, event_id, loss AS best, 0 AS misses FROM r
             WHERE idx = 0
@@ -114,7 +113,9 @@ def best_checkpoint(spark, sf_dir):
     s AS (SELECT run, idx, event_id FROM f WHERE misses >= 12)
     SELECT run, s.idx AS stop_index, s.event_id AS stop_step
     FROM (SELECT DISTINCT run FROM r) LEFT JOIN s USING (run)"""
-)
+
+
+@query(EARLY_STOP_SQL)
 def early_stop(spark, sf_dir):
     log = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("run"),

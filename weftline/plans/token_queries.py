@@ -6,7 +6,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from weftline.operators import mapping, pack, tokens
+from weftline.operators import mapping, pack, split, tokens
+from weftline.operators.ranks import with_rank
 from weftline.plans import prepare
 from weftline.plans.corpus_queries import LANG_WEIGHTS, quota_sql
 from weftline.plans.registry import query, table
@@ -67,6 +68,30 @@ def padded_summary(df):
     )
 
 
+@query(
+    f"""WITH rows AS ({PADDED_SQL}), placed AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS r FROM rows),
+    size AS (SELECT doc_id, octet_length(encode(text)) AS n FROM documents)
+    SELECT r // 16 AS batch_id, count(*) FILTER (n >= 300) AS rows,
+    coalesce(string_agg(ids, ',' ORDER BY doc_id) FILTER (n >= 300), '') AS ids,
+    coalesce(string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) FILTER (n < 300), '') AS short
+    FROM placed JOIN size USING (doc_id) GROUP BY r // 16"""
+)
+def collate_batches(spark, sf_dir):
+    """Batches of 16 documents stacked at one width; short ones are named, not stacked."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    ids = tokens.truncate_pad(docs.withColumn("ids", tokens.tokenize_bytes(F.col("text"))), "ids", 2048)
+    short = F.octet_length("text") < 300
+    ids = ids.withColumn("labels", F.when(short, F.slice("labels", 1, 7)).otherwise(F.col("labels")))
+    batched = split.batches(with_rank(ids, "doc_id"), 16, drop_last=False)
+    stacked = mapping.stack_batches(batched, 2048, "doc_id", order=["doc_id"])
+    return stacked.select(
+        "batch_id",
+        "rows",
+        F.array_join(F.transform("input_ids", ids_md5), ",").alias("ids"),
+        F.array_join(F.col("short").cast("array<string>"), ",").alias("short"),
+    )
+
+
 @query(PADDED_SQL)
 def truncate_pad(spark, sf_dir):
     ids = documents(spark, sf_dir).select(

@@ -12,12 +12,16 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_CONF = "spark.checkpoint.dir"
+PARTS_CONF = "spark.sql.files.minPartitionNum"
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:
     """Set the SQL options the library relies on. All can be set at run time."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ship_package(spark)
+    # passes over large files must cut them alike, also when executors come and go between them
+    if spark.conf.get(PARTS_CONF, None) is None:
+        spark.conf.set(PARTS_CONF, spark.sparkContext.defaultParallelism)
     # a JSON object with a repeated field keeps the last value, it is not an error
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark

@@ -268,15 +268,17 @@ def _only(placed: DataFrame, paths: DataFrame, keep: bool) -> DataFrame:
 def _json_values(fragments: DataFrame, states: DataFrame, field: str) -> DataFrame:
     """Texts of the files that ``states`` knows as one JSON value each: the columns of this module.
 
+    The fragments are those of all files, since a scan of other files has other ranges.
     A file with an element that is not JSON gives one row without text. An element
     above 128 MiB is an error.
     """
 
-    def start(first: dict) -> ranges.JsonCutter:
-        return ranges.JsonCutter(first["state"], first["depth"], 1 if first["kind"] == ranges.ARRAY else -1)
+    def start(first: dict) -> ranges.JsonCutter | None:
+        level = {ranges.ARRAY: 1, ranges.OBJECT: -1}.get(first["kind"])
+        return ranges.JsonCutter(first["state"], first["depth"], level) if level else None
 
     records = ranges.cut(fragments, states, start, ",")
-    files = states.groupBy("path").agg(F.max("total").alias("total"), F.max("kind").alias("kind"))
+    files = states.filter("kind is not null").groupBy("path").agg(F.max("total").alias("total"), F.max("kind").alias("kind"))
     records = records.join(files, "path")
     in_array = F.col("kind") == ranges.ARRAY
     value = F.regexp_replace("value", "^\ufeff", "")
@@ -310,8 +312,10 @@ def _json_files(
     fragments = _kept(_placed(source), skip)
     found = ranges.facts(fragments, lambda block: ranges.JsonFacts(), ranges.JsonFacts.schema)
     states = materialize(ranges.json_states(materialize(found, "json-ranges")), "json-states")
-    paths = states.select("path").distinct()
-    values = _json_values(_only(fragments, paths, True), states, field)
+    paths = states.filter("kind is not null").select("path").distinct()
+    if paths.isEmpty():
+        return _texts(fragments.limit(0).withColumn("json", F.lit(None).cast("array<variant>")), field), paths
+    values = _json_values(fragments, states, field)
     broken = values.filter("_broken").select("path").distinct()
     good = values.join(broken, "path", "left_anti").drop("_broken")
     return good, paths.join(broken, "path", "left_anti")

@@ -310,10 +310,11 @@ ARRAY, OBJECT = "array", "object"
 
 
 def json_states(found: DataFrame) -> DataFrame:
-    """(path, block, state, depth, first, total, kind): ranges of the files that are one array or object.
+    """(path, block, state, depth, first, total, kind) of every range.
 
-    ``first`` is the number of the record with which the range begins, ``total`` that of the file's last one.
-    A file of one line that is an object is left to the readers of lines.
+    ``kind`` says whether the whole file is one array or one object, else it is null. ``first`` is the
+    number of the record with which the range begins, ``total`` that of the file's last one. A file
+    of one line that is an object is left to the readers of lines.
     """
     names = ("delta", "low", "last", "ends_low", "ends_n", "tail")
     ranges = with_state(found)
@@ -339,7 +340,7 @@ def json_states(found: DataFrame) -> DataFrame:
     ).otherwise(0)
     whole = W.partitionBy("path")
     return (
-        ranges.join(files, "path")
+        ranges.join(files, "path", "left")
         .withColumn("_n", F.when(F.col("kind") == ARRAY, F.coalesce(at_level, F.lit(0))).otherwise(0).cast("bigint"))
         .select(
             "path", "block", "state", "depth", _before(F.col("_n")).alias("first"),
@@ -355,21 +356,22 @@ def csv_states(found: DataFrame) -> DataFrame:
 
 
 def with_states(fragments: DataFrame, states: DataFrame) -> DataFrame:
-    """Fragments with the state of their range, in the order of the file; ranges without one are left out.
+    """Fragments with the state of their range, in the order of the file.
 
     A broadcast keeps the order of the scan; a shuffle does not, so that rows are sorted after it.
     """
     if states.count() <= BROADCAST_RANGES:
-        return fragments.join(F.broadcast(states), ["path", "block"])
-    joined = fragments.join(states.hint("shuffle_hash"), ["path", "block"])
+        return fragments.join(F.broadcast(states), ["path", "block"], "left")
+    joined = fragments.join(states.hint("shuffle_hash"), ["path", "block"], "left")
     return joined.sortWithinPartitions("path", "block", "row")
 
 
 def cut(fragments: DataFrame, states: DataFrame, make, separator: str) -> DataFrame:
     """Records ``(path, record, value)``, numbered in each file.
 
-    ``make`` gets the first row of a range and returns what finds the ends of records. Records
-    inside a range come straight from the scan.
+    ``make`` gets the first row of a range and returns what finds the ends of records, or None for
+    a file to leave out. Records inside a range come straight from the scan. Both passes must see the
+    same ranges (see ``prepare_session``); one that the first pass did not see is an error.
     """
     joined = with_states(fragments.withColumn("value", F.col("value").cast("binary")), states)
     schema = pa.schema(
@@ -390,7 +392,11 @@ def cut(fragments: DataFrame, states: DataFrame, make, separator: str) -> DataFr
                     if pending:
                         yield piece(False)
                     first = {c: part.column(c)[0].as_py() for c in part.schema.names if c != "value"}
+                    if first["state"] is None:
+                        raise ValueError(f"files or sizes of ranges changed between two passes: {path}, byte {block}")
                     range_now, cutter, record, pending, begun = (path, block), make(first), first["first"], [], False
+                if cutter is None:
+                    continue
                 data, offsets = _bytes(part.column("value"))
                 ends = np.flatnonzero(cutter.ends(data, offsets))
                 if not len(ends):

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TOKEN_BYTES = 4
 
@@ -53,8 +56,20 @@ def write_packed_shards(
     ).parquet(path)
 
 
-def append_metrics(df: DataFrame, path: str, kind: str) -> None:
-    """Add records of one kind (``train`` or ``validation``) to a metric log."""
-    df.withColumn("kind", F.lit(kind)).write.mode("append").partitionBy("kind").parquet(
-        path
-    )
+def append_metrics(
+    df: DataFrame, path: str, kind: str, writer: str = "batch", commit: str | None = None
+) -> None:
+    """Add records of one kind (``train`` or ``validation``) to a metric log.
+
+    The log has a folder for each commit of each writer. The same commit again, after a failure,
+    replaces its own records; without a name every call is a commit of its own.
+    """
+    commit = commit or uuid.uuid4().hex
+    df.write.mode("overwrite").parquet(f"{path}/kind={kind}/writer={writer}/commit={commit}")
+
+
+def read_metrics(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The records of a metric log, with ``kind``, ``writer`` and ``commit``."""
+    parts = "kind string, writer string, commit string"
+    full = StructType([*schema.fields, *StructType.fromDDL(parts).fields])
+    return spark.read.schema(full).parquet(path)

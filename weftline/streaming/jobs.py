@@ -7,9 +7,13 @@ the stored position.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from weftline.functions.text import has_text, text_hash
@@ -17,6 +21,7 @@ from weftline.operators.pack import pack_batches
 from weftline.operators.ranks import dense_position
 from weftline.operators.tokens import ByteTokens, Tokens, tokenize_bytes, truncate_pad
 from weftline.session import scratch_path
+from weftline.sources.sinks import append_metrics
 
 STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -138,6 +143,92 @@ def finish_pack(
     packed.write.mode("overwrite").parquet(f"{path}/packed/epoch=rest")
 
 
+#: Stands for a null step, which comes first.
+_NO_STEP = -(1 << 63)
+
+
+class _EarlyStop(StatefulProcessor):
+    """Counts misses of one run; the state is five numbers, whatever the length of the run."""
+
+    def __init__(self, patience: int, min_delta: float) -> None:
+        self.patience, self.min_delta = patience, min_delta
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        fields = "seen long, best double, misses int, stop_index long, stop_step long"
+        self.state = handle.getValueState("run", fields)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+        held = self.state.get() if self.state.exists() else (0, None, 0, None, None)
+        seen, best, misses, stop_index, stop_step = held
+        new = pd.concat(list(rows))
+        new = new[new["counts"]].sort_values("step", kind="stable")
+        steps, losses = new["step"].tolist(), new["loss"].to_numpy(np.float64)
+        if stop_index is None:
+            for at, (step, loss) in enumerate(zip(steps, losses.tolist(), strict=True)):
+                # as in SQL, what is not a number is above any loss
+                if best is not None and best == best and not loss <= best - self.min_delta:
+                    misses += 1
+                    if misses >= self.patience:
+                        stop_index, stop_step = seen + at, None if step == _NO_STEP else step
+                        break
+                else:
+                    best, misses = loss, 0
+        seen += len(steps)
+        self.state.update((seen, best, misses, stop_index, stop_step))
+        names = [f"by{i}" for i in range(len(key))]
+        row = [*key, seen, stop_index, stop_step]
+        out = pd.DataFrame([row], columns=[*names, "seen", "stop_index", "stop_step"])
+        yield out.astype({"seen": "Int64", "stop_index": "Int64", "stop_step": "Int64"})
+
+    def close(self) -> None:
+        pass
+
+
+def stream_early_stop(
+    stream: DataFrame,
+    step: str = "step",
+    loss: str = "loss",
+    by: Sequence[str] = ("run",),
+    patience: int = 3,
+    min_delta: float = 0.001,
+) -> DataFrame:
+    """Early stopping while runs train: a row ``(by, seen, stop_index, stop_step)`` for each run and micro-batch.
+
+    Losses count in the order of micro-batches, then steps; null losses do not count. The state
+    of a run goes on in RocksDB after a restart. A task holds one run's rows of one
+    micro-batch, so the source bounds it (``maxFilesPerTrigger``). ``last_stop`` has the newest row
+    of every run.
+    """
+    use_rocksdb(stream.sparkSession)
+    # rows reach Python as named tuples, whose names do not begin with an underscore
+    keys = {f"by{i}": F.col(c) for i, c in enumerate(by)}
+    slim = stream.select(
+        *[c.alias(n) for n, c in keys.items()],
+        F.coalesce(F.col(step).cast("long"), F.lit(_NO_STEP)).alias("step"),
+        F.coalesce(F.col(loss).cast("double"), F.lit(0.0)).alias("loss"), F.col(loss).isNotNull().alias("counts"),
+    )
+    types = ", ".join(f"{n} {slim.schema[n].dataType.simpleString()}" for n in keys)
+    found = slim.groupBy(*keys).transformWithStateInPandas(
+        _EarlyStop(patience, min_delta), f"{types}, seen long, stop_index long, stop_step long", "Append", "None"
+    )
+    return found.select(*[F.col(n).alias(c) for n, c in zip(keys, by, strict=True)], "seen", "stop_index", "stop_step")
+
+
+def last_stop(found: DataFrame, by: Sequence[str] = ("run",)) -> DataFrame:
+    """``(by, stop_index, stop_step)`` from the rows that ``stream_early_stop`` has written so far."""
+    newest = F.max_by(F.struct("stop_index", "stop_step"), "seen").alias("_stop")
+    return found.groupBy(*by).agg(newest).select(*by, "_stop.*")
+
+
+def stream_metrics(stream: DataFrame, path: str, kind: str, writer: str) -> DataStreamWriter:
+    """Add the records of a stream to the metric log; a micro-batch that runs again adds nothing."""
+
+    def add(rows: DataFrame, epoch: int) -> None:
+        append_metrics(rows, path, kind, writer, f"epoch-{epoch}")
+
+    return stream.writeStream.foreachBatch(add)
+
+
 def to_parquet(stream: DataFrame, path: str) -> DataStreamWriter:
     return stream.writeStream.format("parquet").outputMode("append").option("path", path)
 
