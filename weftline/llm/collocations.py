@@ -44,9 +44,9 @@ NARROW_BYTES = 128
 #: Bits of a bitmap of frequent words or pairs, which is broadcast: 8 MB.
 GATE_BITS = 26
 #: Entries a task holds before it sends its filters, and entries of one merging group, about.
-HELD = 1 << 21
-GROUP = 1 << 21
-SLICE = 4 << 20
+HELD = 1 << 19
+GROUP = 1 << 19
+SLICE = 2 << 20
 #: Phrases of a language are ranked in so many parts before the best of all parts are.
 DEALS = 64
 _CHUNK_BITS = 13
@@ -173,10 +173,14 @@ def word_code(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int)
     return mix(Rolling(data)(starts, ends) ^ np.uint64(salt * _ONE & (1 << 64) - 1))
 
 
-def _slot(limbs: Limbs, language: str, bits: int) -> np.ndarray:
-    """Place of a fingerprint in a bitmap."""
-    seed = np.uint64(zlib.crc32(language.encode()) * 2 + (len(limbs) > 1))
-    return (mix(limbs[0] ^ _other(limbs) ^ mix(seed + np.zeros(1, np.uint64))) >> np.uint64(64 - bits)).astype(np.int64)
+def _seeds(languages: list[str]) -> np.ndarray:
+    return mix(np.array([zlib.crc32(language.encode()) for language in languages], np.uint64))
+
+
+def _slot(limbs: Limbs, seeds: np.ndarray, bits: int) -> np.ndarray:
+    """Place of a fingerprint in a bitmap; ``seeds`` tells languages apart."""
+    mixed = mix(limbs[0] ^ _other(limbs) ^ seeds ^ np.uint64(len(limbs)))
+    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _hits(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
@@ -184,7 +188,7 @@ def _hits(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
 
 
 class _Tokens:
-    """Words of some texts: their bytes, ids (-1 if not narrow), and which follow the one before in one piece."""
+    """Words of some texts: their texts, ids (-1 if not narrow), and which follow the one before in one piece."""
 
     def __init__(self, texts: pa.Array, coding: Coding) -> None:
         data, offsets = raw_bytes(texts)
@@ -192,11 +196,12 @@ class _Tokens:
         breaks = _BREAK[data]
         solid = ~(breaks | _SPACE[data])
         starts, ends, first = runs(solid, offsets)
+        self.text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
         places = np.zeros(len(starts) + 1, np.int32)
         np.cumsum(ends - starts, out=places[1:])
         words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data[solid])])
         self.ids = pc.fill_null(pc.index_in(words, value_set=coding.narrow), -1).to_numpy().astype(np.int64)
-        before = np.cumsum(breaks)
+        before = np.cumsum(breaks, dtype=np.int32)
         self.follows = np.zeros(len(starts), bool)
         if len(starts):
             self.follows[1:] = before[starts[1:]] == before[starts[:-1]]
@@ -229,13 +234,6 @@ class _Tokens:
             yield at, to_fingerprint([self.codes[at + k] for k in range(n)], 64), 64
 
 
-def _by_language(part: pa.RecordBatch) -> Iterator[tuple[str, pa.Array]]:
-    languages = part.column("lang").dictionary_encode()
-    which = languages.indices.to_numpy()
-    for number, language in enumerate(languages.dictionary.to_pylist()):
-        yield language, part.column("text").take(pa.array(np.flatnonzero(which == number)))
-
-
 _FILTER = "lang string, wide boolean, part long, filter binary"
 
 
@@ -271,20 +269,25 @@ def filters(
 
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                for language, texts in _by_language(part):
-                    words = _Tokens(texts, known)
-                    passes = None
-                    if allowed is not None:
-                        frequent = np.zeros(len(words.ids), bool)
-                        for at, limbs, _ in words.grams(2, known.bits):
-                            frequent[at] = _hits(allowed, _slot(limbs, language, known.gate_bits))
-                        passes = frequent.copy()
-                        passes[:-1] &= frequent[1:]
-                    for at, limbs, width in words.grams(n, known.bits, passes):
-                        if len(at):
-                            found = summed(limbs, np.ones(len(at), np.int64))
-                            open_filters.setdefault((language, len(limbs) > 1, width), []).append(found)
-                            size += len(found[1])
+                languages = part.column("lang").dictionary_encode()
+                names = languages.dictionary.to_pylist()
+                words = _Tokens(part.column("text"), known)
+                spoken = languages.indices.to_numpy()[words.text]
+                passes = None
+                if allowed is not None:
+                    frequent = np.zeros(len(words.ids), bool)
+                    seeds = _seeds(names)[spoken]
+                    for at, limbs, _ in words.grams(2, known.bits):
+                        frequent[at] = _hits(allowed, _slot(limbs, seeds[at], known.gate_bits))
+                    passes = frequent.copy()
+                    passes[:-1] &= frequent[1:]
+                for at, limbs, width in words.grams(n, known.bits, passes):
+                    mine = spoken[at]
+                    for number in np.unique(mine).tolist():
+                        which = mine == number
+                        found = summed([x[which] for x in limbs], np.ones(int(which.sum()), np.int64))
+                        open_filters.setdefault((names[number], len(limbs) > 1, width), []).append(found)
+                        size += len(found[1])
                 if size >= held:
                     yield from send()
                     size = 0
@@ -314,7 +317,7 @@ def merged(found: DataFrame, n: int, coding: Broadcast, part_bits: int, least: i
         limbs, counts = [x[kept] for x in limbs], counts[kept]
         if bits:
             limbs[0] = limbs[0] | np.uint64(part << (width - bits))
-        slots = _slot(limbs, language, known.gate_bits)
+        slots = _slot(limbs, _seeds([language]), known.gate_bits)
         plain = from_fingerprint(limbs, width)
         size = len(counts)
         places = np.arange(size + 1, dtype=np.int32) * n
