@@ -4,10 +4,22 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from weftline.llm.langid import build_filter, identify, learn_languages
-from weftline.llm.quality import learn_quality, score_quality
+from weftline.llm.blocks import raw_bytes
+from weftline.llm.langid import (
+    HASHES,
+    SLOT_BITS,
+    _grams,
+    _slots,
+    build_filter,
+    hits,
+    identify,
+    judge,
+    learn_languages,
+)
+from weftline.llm.quality import learn_quality, score_quality, train
 from weftline.llm.toxicity import _Chunks, learn_toxicity, marginals, score_toxicity
 
 rng = random.Random(6)
@@ -41,6 +53,47 @@ def test_language(spark):
     assert identify(odd(spark).limit(0), model).count() == 0
 
 
+def test_letters_of_any_script():
+    """Letters by Unicode, also where no n-gram is known; marks, digits and symbols are none."""
+    model = build_filter({"a": np.arange(5, dtype=np.uint64), "b": np.arange(9, dtype=np.uint64)})
+    letters = ["µ", "ª", "ⰀⰁⰂ", "ⲁⲃ", "々", "ℂℝ", "x", "é", "Ж", "中", "1ª", "12 ℝ"]
+    others = ["", None, "×÷", "…—“”", "١٢٣", "😀", "12 345", "№", "₿", "̀", "〇"]
+    names, score, _ = judge(model, pa.array(letters + others))
+    assert all(n in ("a", "b") for n in names[: len(letters)]) and set(names[len(letters) :]) == {"und"}
+    assert ((score >= 0) & (score <= 1)).all()
+
+
+def test_masks_equal_plain_hash_sets():
+    """The bit-sliced filter against one set of slots for each language."""
+    rng = np.random.default_rng(3)
+    grams = {f"l{i:02}": rng.integers(0, 1 << 62, 300, dtype=np.uint64) for i in range(70)}
+    model = build_filter(grams)
+    texts = ["the cat sat", "", "a über straße 12", "zzz " * 50]
+    data, offsets = raw_bytes(pa.array(texts))
+    found, total = hits(model, data, offsets)
+    for t in range(len(texts)):
+        own = [g for packed, at in _grams(data, offsets) for g in packed[at[t] : at[t + 1]]]
+        assert total[t] == len(own)
+        for i, name in enumerate(model.languages):
+            plain = [set(s.tolist()) for s in _slots(grams[name])]
+            union = set().union(*plain)
+            want = sum(all(int(s[0]) in union for s in _slots(np.array([g]))) for g in own)
+            false = (len(union) / (1 << SLOT_BITS)) ** HASHES
+            sizes = [len([1 for g in packed[at[t] : at[t + 1]]]) for packed, at in _grams(data, offsets)]
+            assert found[t, i] <= want + 1e-9 and found[t, i] >= want - false * sum(sizes) - 1e-9
+
+
+def test_a_step_of_descent_lowers_the_loss():
+    """One text with label 1 and one with label 0, against numerical slopes of the same loss."""
+    ids = [np.array([1, 2, 3], np.int32), np.array([3, 4], np.int32)] * 20
+    counts = [np.array([1, 2, 1], np.float32), np.array([1, 1], np.float32)] * 20
+    model = train(ids, counts, np.array([1, 0] * 20))
+    weights = model.projected()
+    bias = model.bias[1] - model.bias[0]
+    logit = [float((weights[i] * c).sum() / c.sum() + bias) for i, c in zip(ids[:2], counts[:2], strict=True)]
+    assert logit[0] > 0 > logit[1]
+
+
 def test_more_languages_than_bits():
     grams = {f"l{i:03}": np.random.default_rng(i).integers(0, 1 << 62, 50, dtype=np.uint64) for i in range(150)}
     model = build_filter(grams)

@@ -26,6 +26,8 @@ SAMPLE = 4000
 SHARE = 0.01
 #: No language keeps more n-grams than this, the most frequent first.
 GRAMS = 30_000
+#: More languages than this are an error: the filter is held whole by every task.
+LANGUAGES = 1024
 #: A text is in a language if that contains this share of the text's n-grams.
 COVERAGE = 0.5
 WIDTHS = (3, 4)
@@ -105,7 +107,9 @@ def learn_languages(
         F.xxhash64(key).alias("place"), F.col(text).alias("text"), F.col(lang).alias("lang")
     ).where("text is not null and lang is not null")
     sizes = known.groupBy("lang").agg(F.count("*").alias("rows"))
-    rate = F.broadcast(sizes.orderBy(F.desc("rows"), "lang").limit(1024))
+    if len(sizes.limit(LANGUAGES + 1).collect()) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    rate = F.broadcast(sizes)
     place = (F.col("place").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30)))
     picked = known.join(rate, "lang").where(place * F.col("rows") < sample)
     counts = (
@@ -170,9 +174,9 @@ def judge(model: LanguageFilter, texts: pa.Array) -> tuple[list[str], np.ndarray
     top = found[np.arange(n), best]
     rest = np.partition(found, -2, axis=1)[:, -2] if found.shape[1] > 1 else np.zeros(n)
     letters = letter_flags(data)
-    some = sums_between(letters, offsets) > 0
     plain = sums_between(letters & (data < 128), offsets) > 0
-    for i in np.flatnonzero(some):
+    # beyond ASCII the flags know letters by range, and only Unicode says what is one
+    for i in np.flatnonzero(plain | (sums_between(data >= 128, offsets) > 0)):
         if plain[i] or any(map(str.isalpha, texts[int(i)].as_py())):
             names[i] = model.languages[best[i]]
             score[i] = top[i] / (top[i] + rest[i]) if top[i] else 0.0

@@ -23,9 +23,6 @@ from weftline.llm.blocks import Rolling, raw_bytes, runs, slices, solid_flags, s
 
 #: Training takes about this many labelled rows at most, picked by a hash of the key.
 SAMPLE = 5000
-#: Features of a training text beyond this many distinct ones are left out of training
-#: (never of scoring), the rarest in the text first.
-TRAIN_FEATURES = 2000
 BUCKET_BITS = 17
 DIM = 8
 WIDTHS = (3, 4, 5)
@@ -92,9 +89,6 @@ def _training_rows(batches):
             for i in range(len(labels)):
                 own = np.concatenate([b[at[i] : at[i + 1]] for b, at in found])
                 values, times = np.unique(own, return_counts=True)
-                if len(values) > TRAIN_FEATURES:
-                    keep = np.sort(np.argsort(-times, kind="stable")[:TRAIN_FEATURES])
-                    values, times = values[keep], times[keep]
                 ids.append(values.astype("<i4").tobytes())
                 counts.append(np.minimum(times, 65535).astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays(
@@ -104,11 +98,14 @@ def _training_rows(batches):
 
 
 def sampled(labelled: DataFrame, key: str, sample: int) -> DataFrame:
-    """About ``sample`` rows at most, by a hash of the key; adds the hash as ``place``."""
+    """About ``sample`` rows at most, by a hash of the key; adds the hash as ``place``.
+
+    Where keys repeat, the first rows by hash of key and text count.
+    """
     marked = labelled.withColumn("place", F.xxhash64(key))
     rows = max(1, marked.count())
     share = F.col("place").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
-    return marked.where(share * rows < sample).limit(2 * sample)
+    return marked.where(share * rows < sample).orderBy("place", F.xxhash64("text")).limit(2 * sample)
 
 
 def learn_quality(

@@ -158,7 +158,7 @@ def learn_toxicity(
     sizes = {r["label"]: r["rows"] for r in known.groupBy("label").agg(F.count("*").alias("rows")).collect()}
     share = F.col("place").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
     picks = [
-        known.where(F.col("label") == k).where(share * n < sample).limit(2 * sample) for k, n in sorted(sizes.items())
+        known.where(F.col("label") == k).where(share * n < sample).orderBy("place", F.xxhash64("text")).limit(2 * sample) for k, n in sorted(sizes.items())
     ]
     if len(picks) < 2:
         return ToxicField(np.zeros(1 << BUCKET_BITS, np.float32), np.zeros((2, 2)), np.zeros(3))
