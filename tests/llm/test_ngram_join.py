@@ -5,7 +5,7 @@ import random
 import pytest
 
 from weftline.llm.components import components
-from weftline.llm.ngram_join import bands_for, near_duplicates
+from weftline.llm.ngram_join import bands_for, near_duplicates, one_of_each
 
 
 def sets(text):
@@ -82,3 +82,16 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 150), (7, 7), (300, None)]
     got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "u long, v long")).collect())
     assert got == {**{i: 0 for i in range(1, 61)}, 150: 100, 200: 100}
+
+
+def test_one_of_each_with_any_key(spark):
+    long = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [("b", long, 1), ("a", long, 2), (None, None, 3), (None, long + " x", 4), ("c", "other words that are in no second text here", 5), ("c", "more", 6)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, _key int")
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = [tuple(r) for r in kept.collect()]
+    assert len([r for r in got if r[1] and r[1].startswith("one two")]) == 1
+    assert {r[2] for r in got} >= {3, 5, 6} and len(got) == 4
+    numbers = spark.createDataFrame([(42, long), (7, long), (None, None)], "doc_id long, text string")
+    assert sorted((r["doc_id"] or 0) for r in one_of_each(numbers).collect()) == [0, 7]

@@ -82,3 +82,15 @@ def test_redaction(spark):
     assert redact(text, find_spans(text)) == "mail [EMAIL] or [PHONE]"
     docs = spark.createDataFrame([(1, text, 29), (2, None, None)], "doc_id long, text string, n_chars long")
     assert [tuple(r) for r in redacted(docs).orderBy("doc_id").collect()] == [(1, "mail [EMAIL] or [PHONE]", 23), (2, None, None)]
+
+
+@pytest.mark.parametrize("cue", ["Social Security: ", "SOCIAL security no. ", "social security ", "SSN=", "sSn: "])
+def test_cues_in_any_case(cue):
+    for before in ("", "İİ ", "é "):
+        text = f"{before}{cue}123-45-6789."
+        start = len(before) + len(cue)
+        assert find_spans(text) == [("ssn", start, start + 11)]
+
+
+def test_more_cues():
+    assert [s[0] for s in find_spans("Kontonummer: 12345678 Pasaporte AB123456 Anschrift: 5 Lange Gasse, 80331 Ort")] == ["account", "passport", "address"]

@@ -29,6 +29,14 @@ def test_same_as_all_products(spark, block):
     assert sorted(tuple(r) for r in got.collect()) == brute(rows, 10)
 
 
+def test_rows_without_an_id_take_no_part(spark):
+    big = 9007199254740993
+    rows = [(0, [1.0, 0.0]), (None, [9.0, 9.0]), (big, [0.5, 0.5]), (None, [1.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = top_k(table, F.col("vec_id") == 0)
+    assert [tuple(r) for r in got.collect()] == [(0, 1, big, 512 * 1024)]
+
+
 def test_few_and_no_rows(spark):
     table = spark.createDataFrame([(0, [1.0, 0.0]), (100, [0.5, 0.5])], "vec_id long, embedding array<float>")
     got = top_k(table, F.col("vec_id") % 100 == 0)

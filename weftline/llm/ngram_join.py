@@ -278,8 +278,11 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """One row of each group of near duplicates, the one with the least key.
 
     A key names a document: of several rows with a key and a text one stays. A row
-    without a key goes by the hash of its text.
+    without a key goes by a hash of its text, and keys that are not whole numbers by their hash.
     """
-    named = docs.withColumn("__key", F.coalesce(F.col(key).cast("long"), F.xxhash64(text))).withColumn("__text", F.xxhash64(text))
-    first = near_duplicates(named, "__key", text).where(F.col("__key") == F.col("class_id")).select("__key")
-    return named.join(first, "__key", "left_semi").dropDuplicates(["__key", "__text"]).drop("__key", "__text")
+    number, same = (next(n for n in (name * k for k in range(1, 99)) if n not in docs.columns) for name in ("_key", "_same"))
+    whole = docs.schema[key].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    own = F.col(key).cast("long") if whole else F.when(F.col(key).isNotNull(), F.xxhash64(key))
+    named = docs.withColumn(number, F.coalesce(own, F.xxhash64(text, F.lit("no key")))).withColumn(same, F.xxhash64(text))
+    first = near_duplicates(named, number, text).where(F.col(number) == F.col("class_id")).select(number)
+    return named.join(first, number, "left_semi").dropDuplicates([number, same]).drop(number, same)

@@ -30,6 +30,9 @@ from pyspark.sql import functions as F
 from weftline.llm.blocks import slices
 
 LENGTH = 2048
+#: Documents in a sequence at most, and the weights of tokens, documents and attention cost.
+MOST_PIECES = 256
+WEIGHTS = (1.0, 1.0, 1.0)
 #: Pieces that one task packs, on average.
 GROUP = 8192
 #: A worker's memory of chunks and their ids starts anew beyond this many.
@@ -198,7 +201,7 @@ def best_fit(
 
 def pack(
     pieces: DataFrame, length: int = LENGTH, most_pieces: int | None = None, most_attention: int | None = None,
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0), rule: str = "norm", group: int = GROUP,
+    weights: tuple[float, float, float] = WEIGHTS, rule: str = "norm", group: int = GROUP,
     columns: tuple[str, ...] = ("doc_id", "part"),
 ) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces with a ``length``.

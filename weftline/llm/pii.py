@@ -32,6 +32,7 @@ ADDED = ("iban", "account", "passport", "ssn", "address", "url_login")
 Span = tuple[str, int, int]
 
 _DIGITS = "0123456789"
+_LOWER = {c: c + 32 for c in range(65, 91)}
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
@@ -39,9 +40,10 @@ _SPACED = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _DIALLED = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 #: Cues, all in lower case, and what to read behind them.
 CUES = {
-    "iban": "iban", "account": "account", "acct": "account", "konto": "account", "cuenta": "account",
-    "passport": "passport", "ssn": "ssn", "social security": "ssn",
-    "address": "address", "adresse": "address",
+    "iban": "iban", "account": "account", "acct": "account", "konto": "account", "kontonummer": "account",
+    "cuenta": "account", "compte": "account", "passport": "passport", "passeport": "passport", "pasaporte": "passport",
+    "ssn": "ssn", "social security": "ssn", "address": "address", "adresse": "address", "anschrift": "address",
+    "dirección": "address", "direccion": "address",
 }
 _BEHIND = r"(?:\s*(?:no|nr|number|num|id)\b\.?)?\s*[:#=]?\s*"
 _READ = {
@@ -67,9 +69,7 @@ def _automaton() -> ahocorasick.Automaton:
             for b in _DIGITS:
                 held.add_word(a + middle + b, ("dd", len(middle) + 1))
     for cue in CUES:
-        # first letters in either case; the parser behind checks the rest
-        for form in {cue, cue.capitalize(), cue.upper()}:
-            held.add_word(form, (CUES[cue], 0))
+        held.add_word(cue, (CUES[cue], 0))
     held.make_automaton()
     return held
 
@@ -156,7 +156,11 @@ class _Reader:
 def find_spans(text: str) -> list[Span]:
     """All spans of a text, by start, then kind. Offsets are code points, ends exclusive."""
     reader = _Reader(text)
-    for end, (what, back) in _automaton().iter(text):
+    # cues count in any case; a few letters beyond ASCII change their length in lower case
+    folded = text.lower()
+    if len(folded) != len(text):
+        folded = text.translate(_LOWER)
+    for end, (what, back) in _automaton().iter(folded):
         if what == "@":
             reader.email(end)
         elif what == "+":

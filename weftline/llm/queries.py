@@ -13,7 +13,7 @@ from weftline.llm.html_main import extract, learn_weights
 from weftline.llm.langid import identify, learn_languages
 from weftline.llm.lm_score import score
 from weftline.llm.ngram_join import near_duplicates
-from weftline.llm.packing import cut_pieces, pack
+from weftline.llm.packing import MOST_PIECES, cut_pieces, pack
 from weftline.llm.pii import digest
 from weftline.llm.quality import learn_quality, score_quality
 from weftline.llm.registry import query, table
@@ -106,10 +106,10 @@ def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
-def packed(docs: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, keep_ids: bool = False) -> DataFrame:
     # written once: the number of groups needs a count, and tokens are dear
-    pieces = written(cut_pieces(docs).withColumnRenamed("part", "piece"), "pieces")
-    return pack(pieces, columns=("doc_id", "piece", "start", "ids_crc32"))
+    pieces = written(cut_pieces(docs, keep_ids=keep_ids).withColumnRenamed("part", "piece"), "pieces")
+    return pack(pieces, most_pieces=MOST_PIECES, columns=("doc_id", "piece", "start", "ids_crc32"))
 
 
 @query()

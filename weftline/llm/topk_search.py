@@ -13,7 +13,8 @@ bounded sample; they decide the speed, never the result. A block's best k go on;
 no group holds more than k rows for each block, and these are cut down to k again in levels.
 
 Vectors that are null, empty, hold null or non-finite components, or do not have the
-common dimension (the most frequent one) take no part. Equal ids are one query's own rows
+common dimension (the most frequent one) take no part, nor do rows without an id; a component whose
+scaled value passes 64 bits is an error. Equal ids are one query's own rows
 and are left out of its candidates. An empty table gives no rows.
 """
 
@@ -37,7 +38,7 @@ def whole_vectors(table: DataFrame, key: str, vector: str, scale: int) -> DataFr
         F.size(vector) > 0, F.lit(False)
     ) & F.forall(parts, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return (
-        table.where(fine).select(F.col(key).cast("long").alias("id"), F.transform(parts, lambda x: F.floor(x * scale)).alias("vec"))
+        table.where(fine & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.transform(parts, lambda x: F.floor(x * scale)).alias("vec"))
         .withColumn("square", F.aggregate("vec", F.lit(0).cast("long"), lambda a, x: a + x * x))
     )
 
