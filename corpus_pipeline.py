@@ -40,7 +40,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return packed(docs)
+    return packed(docs, keep_ids=True)
 
 
 STAGES = [
