@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from weftline.functions.text import name_number
 from weftline.operators.ranks import BUCKET_ROWS, div, with_rank, with_running
@@ -175,6 +177,42 @@ def resume_incremental(df: DataFrame, done: DataFrame, keys: Sequence[str]) -> D
     return df.join(done.select(*keys), list(keys), "left_anti")
 
 
+def write_epoch(df: DataFrame, path: str, epoch: int, sample: str = "sample", shard_rows: int = 100_000) -> None:
+    """Store one epoch's rows as ``path/epoch=E/shard=S``, ``shard_rows`` samples to a shard."""
+    placed = df.withColumn("shard", div(F.col(sample), shard_rows))
+    placed = placed.repartitionByRange("shard").sortWithinPartitions("shard", sample)
+    placed.write.mode("overwrite").partitionBy("shard").parquet(f"{path}/epoch={epoch}")
+
+
+def save_position(spark: SparkSession, path: str, epoch: int, sample: int, shard_rows: int = 100_000) -> None:
+    """Record that ``sample`` is the next one of ``epoch``. The record is replaced whole."""
+    row = spark.range(1).select(
+        F.lit(epoch).cast("bigint").alias("epoch"),
+        F.lit(sample).cast("bigint").alias("sample"),
+        F.lit(shard_rows).cast("bigint").alias("shard_rows"),
+    )
+    row.write.mode("overwrite").json(path)
+
+
+def resume_position(spark: SparkSession, path: str, position: str, schema: StructType, sample: str = "sample") -> DataFrame:
+    """The samples that are left of the stored position's epoch and of all later ones.
+
+    Finished epochs and shards are left out by their folders, so nothing of them is read.
+    Without a record everything is left.
+    """
+    parts = StructType.fromDDL("epoch bigint, shard bigint")
+    rows = spark.read.schema(StructType([*schema.fields, *parts.fields])).parquet(path)
+    try:
+        at = spark.read.schema("epoch long, sample long, shard_rows long").json(position).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return rows
+    first_shard = at["sample"] // at["shard_rows"]
+    same = (F.col("epoch") == at["epoch"]) & (F.col("shard") >= first_shard) & (F.col(sample) >= at["sample"])
+    return rows.filter((F.col("epoch") > at["epoch"]) | same)
+
+
 def _fold(
     rows: Column, best: Column, misses: Column, patience: int, delta: float, at: Column
 ) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from weftline.operators.ranks import dense_position
@@ -238,37 +239,44 @@ def tokenize_vocab(
     """``(key, ids)`` by looking every word up in ``vocab`` (a written table, best).
 
     Words that are not there get ``unknown``, or are left out when it is None. A null text
-    has no ids.
+    has no ids. Every row has a row, also where keys repeat.
     """
     # the texts move once; their words are then brought together where they are
-    texts = df.select(key, text).repartition(key)
-    words = texts.select(key, F.posexplode_outer(words_of(F.col(text))).alias("_at", "word"))
+    texts, row = _apart(df.select(key, text), key, text)
+    words = texts.select(*row, F.posexplode_outer(words_of(F.col(text))).alias("_at", "word"))
     coded = _look_up(words, vocab, "word", "id", broadcast_words)
     code = F.coalesce("id", F.lit(unknown))
     pair = F.struct("_at", code.cast("int").alias("id"))
     is_word = F.col("_at").isNotNull() & code.isNotNull()
     pairs = F.array_sort(F.collect_list(F.when(is_word, pair)))
     return (
-        coded.groupBy(key)
+        coded.groupBy(*row)
         .agg(pairs.alias("_pairs"))
         .select(key, F.col("_pairs.id").alias("ids"))
     )
 
 
+def _apart(df: DataFrame, key: str, value: str) -> tuple[DataFrame, list[str]]:
+    """Rows dealt by key and value, and the columns that name a row; equal rows are numbered."""
+    dealt = df.withColumn("_same", F.xxhash64(value)).repartition(key, "_same")
+    copies = W.partitionBy(key, "_same").orderBy(F.lit(0))
+    return dealt.withColumn("_copy", F.row_number().over(copies)), [key, "_same", "_copy"]
+
+
 def detokenize_vocab(
     df: DataFrame, vocab: DataFrame, key: str, broadcast_words: int = BROADCAST_WORDS
 ) -> DataFrame:
     """``(key, text)`` from ``(key, ids)``; ids that are not in ``vocab`` are skipped.
 
-    No ids give an empty text.
+    No ids give an empty text. Every row has a row, also where keys repeat.
     """
-    rows = df.select(key, "ids").repartition(key)
-    tokens = rows.select(key, F.posexplode_outer("ids").alias("_at", "id"))
+    rows, row = _apart(df.select(key, "ids"), key, "ids")
+    tokens = rows.select(*row, F.posexplode_outer("ids").alias("_at", "id"))
     vocab = vocab.withColumn("id", F.col("id").cast("int"))
     words = _look_up(tokens, vocab, "id", "word", broadcast_words)
     pair = F.when(F.col("word").isNotNull(), F.struct("_at", "word"))
     return (
-        words.groupBy(key)
+        words.groupBy(*row)
         .agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
         .select(key, F.array_join("_pairs.word", " ").alias("text"))
     )

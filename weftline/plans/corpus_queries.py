@@ -10,7 +10,7 @@ from weftline.functions.text import universal_newlines as newlines
 from weftline.operators import counts, dedup, mix, select, split
 from weftline.operators.tokens import SPACE, ByteTokens
 from weftline.plans.registry import query, table
-from weftline.session import materialize
+from weftline.session import materialize, scratch_path
 
 # The same characters as functions.text.WHITESPACE, as a DuckDB expression.
 DUCK_WHITESPACE = " || ".join(
@@ -232,7 +232,24 @@ def explode_pages(spark, sf_dir):
 )
 def dedup_exact(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup.dedup_exact(docs, "doc_id").select("doc_id", F.md5("text").alias("md5"))
+    return dedup.dedup_exact(docs, "doc_id", late=True).select("doc_id", F.md5("text").alias("md5"))
+
+
+@query(
+    """SELECT doc_id, batch FROM (SELECT doc_id, doc_id % 3 AS batch, row_number() OVER (PARTITION BY md5(text)
+    ORDER BY doc_id % 3, doc_id) AS rn FROM documents) WHERE rn = 1"""
+)
+def seen_store(spark, sf_dir):
+    """Three batches, one after the other, against a store of what was seen; a commit runs twice."""
+    store = dedup.SeenStore(scratch_path(spark, "seen"), digits=1)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (F.col("doc_id") % 3).alias("batch"))
+    kept = []
+    for i in range(3):
+        new = materialize(store.unseen(docs.filter(F.col("batch") == i), "doc_id").select("doc_id", "batch", "hash"), "unseen")
+        for _ in range(2):
+            store.add(new, f"batch-{i}")
+        kept.append(new.select("doc_id", "batch"))
+    return kept[0].union(kept[1]).union(kept[2])
 
 
 @query(

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weftline.operators import runlog
+from weftline.operators import runlog, split
 from weftline.operators.ranks import div, with_rank
 from weftline.plans.registry import query, table
+from weftline.session import scratch_path
 
 LOG_CTE = """WITH e AS (SELECT event_id, event_type AS run,
         date_diff('day', TIMESTAMP '2024-01-01', date_trunc('day', ts)) // 7 AS epoch,
@@ -201,3 +202,21 @@ def resume_incremental(spark, sf_dir):
     return runlog.resume_incremental(events, done, ["event_id"]).select(
         "event_id", "value"
     )
+
+
+@query(
+    """WITH e AS (SELECT epoch, event_id, row_number() OVER (PARTITION BY epoch ORDER BY md5('42:' || epoch || ':' || event_id),
+        event_id) - 1 AS sample FROM events, (SELECT unnest(range(3)) AS epoch)), n AS (SELECT count(*) AS n FROM events)
+    SELECT epoch, sample, event_id FROM e, n WHERE epoch = 1 AND sample >= n * 2 // 5 OR epoch = 2"""
+)
+def resume_position(spark, sf_dir):
+    """Three shuffled epochs in shards; training stopped two fifths into the second."""
+    path = scratch_path(spark, "epochs")
+    events = table(spark, sf_dir, "events").select("event_id", "value")
+    rows = events.count()
+    for epoch in range(3):
+        shuffled = split.shuffle_epoch(events, "event_id", 42, epoch, "sample")
+        runlog.write_epoch(shuffled, f"{path}/data", epoch, shard_rows=max(1, rows // 40))
+    runlog.save_position(spark, f"{path}/position", 1, rows * 2 // 5, max(1, rows // 40))
+    left = runlog.resume_position(spark, f"{path}/data", f"{path}/position", shuffled.schema)
+    return left.select("epoch", "sample", "event_id")
