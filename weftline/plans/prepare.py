@@ -15,7 +15,7 @@ from weftline.operators.ranks import BUCKET_ROWS, dense_position, div, with_rank
 from weftline.operators.select import require_rows
 from weftline.operators.split import distributed_sampler, split_sequential
 from weftline.operators.tokens import EOS, ArrayTokens, ByteTokens, byte_count
-from weftline.session import materialize
+from weftline.session import materialize, temporary_scratch
 from weftline.sources.files import (
     ORDER,
     damaged_names,
@@ -46,6 +46,19 @@ def convert_directory(
     are recorded in ``output/skipped``, as path and reason, and left out; else they are
     an error.
     """
+    with temporary_scratch(spark):
+        _convert(spark, directory, output, column, train_ratio, recursive, skip_damaged)
+
+
+def _convert(
+    spark: SparkSession,
+    directory: str,
+    output: str,
+    column: str,
+    train_ratio: float | None,
+    recursive: bool,
+    skip_damaged: bool,
+) -> None:
     skip = []
     if skip_damaged:
         skipped_files(spark, directory, recursive).write.mode("overwrite").json(f"{output}/skipped")
@@ -81,7 +94,8 @@ def convert_file(
     }
     if kind not in read:
         raise ValueError(f"unknown kind {kind!r}, expected one of {sorted(read)}")
-    write_jsonl(read[kind](), output, mode="append")
+    with temporary_scratch(spark):
+        write_jsonl(read[kind](), output, mode="append")
 
 
 def training_batches(

@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,9 +62,32 @@ def scratch_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Scratch paths handed out inside ``temporary_scratch``, innermost last, in each thread.
+_OPEN = threading.local()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the scratch folder that nothing else uses."""
-    return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    blocks = getattr(_OPEN, "blocks", None)
+    if blocks:
+        blocks[-1].append(path)
+    return path
+
+
+@contextmanager
+def temporary_scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what the block writes to the scratch folder when the block ends.
+
+    For jobs that end with an output elsewhere: no DataFrame of the block may be read later.
+    """
+    _OPEN.blocks = [*getattr(_OPEN, "blocks", []), []]
+    try:
+        yield
+    finally:
+        for path in _OPEN.blocks.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

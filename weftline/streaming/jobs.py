@@ -20,7 +20,7 @@ from weftline.functions.text import has_text, text_hash
 from weftline.operators.pack import pack_batches
 from weftline.operators.ranks import dense_position
 from weftline.operators.tokens import ByteTokens, Tokens, tokenize_bytes, truncate_pad
-from weftline.session import scratch_path
+from weftline.session import scratch_path, temporary_scratch
 from weftline.sources.sinks import append_metrics
 
 STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -96,6 +96,10 @@ def stream_pack(
     schema, spark = stream.schema, stream.sparkSession
 
     def pack(rows: DataFrame, epoch: int) -> None:
+        with temporary_scratch(spark):
+            pack_epoch(rows, epoch)
+
+    def pack_epoch(rows: DataFrame, epoch: int) -> None:
         # the session of a micro-batch plans without statistics; what follows is batch work
         arrived = scratch_path(spark, "arrived")
         rows.write.parquet(arrived)
