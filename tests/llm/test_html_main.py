@@ -66,6 +66,11 @@ CASES = {
     "unclosed menu": ("<body><nav><ul><li>x y z<article><p>Text a b c</p></article>", "Text a b c"),
     "unclosed advert": ("<body><div class=ad>Buy<p>Text a b c</p><p>more text</p>", "Text a b c more text"),
     "articles in a sidebar": ("<main><p>a b c</p></main><aside><article>Teaser one</article></aside>", "a b c"),
+    "boilerplate by class": (
+        "<article><h1>Title</h1><p>a b c</p><div class='discussion'><p>I agree</p></div><div id=cookiebar>ok</div>"
+        "<div class=no-ads>d e</div></article>",
+        "Title a b c d e",
+    ),
     "longest article": (f"<article>short one</article><article><p>{WORDS}</p></article>", WORDS),
     "comment, script, style": ("<article>a<!-- <p>x --> b<script>'</p>'</script> c<style>p{}</style></article>", "a b c"),
     "unclosed comment": ("<article>a b</article><!-- never ends <p>x", "a b"),

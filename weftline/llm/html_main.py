@@ -72,7 +72,8 @@ _HOLE_WORDS = frozenset(
     notifications alert announcement disclaimer paywall nav navbar navigation menu menus breadcrumb breadcrumbs
     sidebar sidebars rail widget widgets footer footers masthead topbar toolbar pagination pager comment comments
     commentlist disqus respond reply replies newsletter subscribe subscription signup login share sharing social
-    related recommended recommendations popup modal overlay skip copyright""".split()
+    related recommended recommendations popup modal overlay skip copyright aside discussion usercomments adbox
+    topnav subnav navlinks cookiebar""".split()
 )
 _HEADER_WORDS = frozenset(("header", "headers"))
 #: Class names that begin so tell of a state, not of what the element is.
