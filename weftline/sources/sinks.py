@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 import uuid
+import zlib
+from collections import Counter
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 TOKEN_BYTES = 4
+#: Folders that ``write_each`` deals its files to.
+FOLDERS = 1024
 
 
 def write_jsonl(
@@ -73,3 +80,38 @@ def read_metrics(spark: SparkSession, path: str, schema: StructType) -> DataFram
     parts = "kind string, writer string, commit string"
     full = StructType([*schema.fields, *StructType.fromDDL(parts).fields])
     return spark.read.schema(full).parquet(path)
+
+
+def write_each(df: DataFrame, path: str, key: str, text: str) -> None:
+    """One text file for each row, whose name has ``key=value`` in it.
+
+    The tasks write the files themselves, since Spark's writer takes a folder, a check sum and a change
+    of rights for each. Names depend on keys and partitions alone, so that a task which runs again
+    replaces its files. A store that Arrow does not know is written by Spark, rows of one key together.
+    """
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+    uri = uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
+    try:
+        pafs.FileSystem.from_uri(uri)
+    except (pa.ArrowException, OSError):
+        df.select(key, text).write.partitionBy(key).text(path)
+        return
+
+    def write(batches):
+        store, root = pafs.FileSystem.from_uri(uri)
+        part, seen, made = TaskContext.get().partitionId(), Counter(), set()
+        for batch in batches:
+            for name, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                folder = f"{root}/{zlib.crc32(str(name).encode()) % FOLDERS:04d}"
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with store.open_output_stream(f"{folder}/{key}={name}-{part}-{seen[name]}.txt") as out:
+                    out.write((value.as_buffer() if value.is_valid else b""))
+                    out.write(b"\n")
+                seen[name] += 1
+            yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+    df.select(key, text).mapInArrow(write, "files long").agg(F.sum("files")).collect()
