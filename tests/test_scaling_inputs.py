@@ -7,7 +7,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from weftline.plans import file_queries
+from weftline.plans import file_queries, stream_queries, token_queries
 from weftline.session import scratch_dir, scratch_path
 from weftline.sources import sinks
 
@@ -53,3 +53,15 @@ def test_csv_has_a_file_for_every_so_many_bytes(spark, tmp_path, monkeypatch):
     assert sorted(r["text"] for r in found.collect()) == sorted(text for _, text in rows)
     tables = [p for p in set(glob.glob(f"{scratch_dir(spark)}/csv-split-*")) - before if glob.glob(f"{p}/*.csv")]
     assert [len(glob.glob(f"{p}/*.csv")) > 1 for p in tables] == [True]
+
+
+def test_a_quarter_of_the_stream_is_written_by_many_tasks(spark, tmp_path):
+    rows = [(i, f"{i} " * (i % 50)) for i in range(300)]
+    sf_dir = documents(spark, tmp_path, rows, 16)
+    before = set(glob.glob(f"{scratch_dir(spark)}/stream-pack-*"))
+    found = stream_queries.stream_pack(spark, sf_dir)
+    whole = token_queries.packed_summary(token_queries.packed_batches(spark, sf_dir))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
+    (path,) = set(glob.glob(f"{scratch_dir(spark)}/stream-pack-*")) - before
+    assert all(len(glob.glob(f"{path}/in/{i}/*.parquet")) > 1 for i in range(4))
+    assert len(glob.glob(f"{path}/out/done/epoch=*")) == 4

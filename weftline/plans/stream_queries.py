@@ -50,18 +50,25 @@ def stream_tokenize(spark, sf_dir):
     return padded_summary(run(spark, jobs.stream_tokenize(stream, 2048)))
 
 
+def quarter(df, key, last, i):
+    """The rows with ``last * i < 4 * key <= last * (i + 1)``, key 0 included, by bounds that the scan can use."""
+    return df.filter((F.col(key) > (last * i - (i == 0)) // 4) & (F.col(key) <= last * (i + 1) // 4))
+
+
 @query(PACK_BATCHES_SQL)
 def stream_pack(spark, sf_dir):
-    """Four files in the order of their ids, a micro-batch each; no batch ends with one."""
+    """Four quarters in the order of their ids, a micro-batch each; no batch ends with one.
+
+    A quarter is as many files as tasks write, and the stream goes on when the next one is there.
+    """
     path = scratch_path(spark, "stream-pack")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     last = docs.agg(F.max("doc_id")).first()[0]
     for i in range(4):
-        part = docs.filter((F.col("doc_id") * 4 > last * i - (i == 0)) & (F.col("doc_id") * 4 <= last * (i + 1)))
-        part.coalesce(1).write.parquet(f"{path}/in/{i}")
-    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in/*")
-    writer = jobs.stream_pack(stream, f"{path}/out", ["doc_id"], length=LENGTH, batch_docs=BATCH_DOCS)
-    epoch = jobs.run_available(writer, f"{path}/progress")
+        quarter(docs, "doc_id", last, i).write.parquet(f"{path}/in/{i}")
+        stream = spark.readStream.schema(docs.schema).parquet(f"{path}/in/*")
+        writer = jobs.stream_pack(stream, f"{path}/out", ["doc_id"], length=LENGTH, batch_docs=BATCH_DOCS)
+        epoch = jobs.run_available(writer, f"{path}/progress")
     jobs.finish_pack(spark, f"{path}/out", docs.schema, epoch, ["doc_id"], length=LENGTH)
     return packed_summary(spark.read.parquet(f"{path}/out/packed"))
 
