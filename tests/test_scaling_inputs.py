@@ -5,8 +5,10 @@ from __future__ import annotations
 import glob
 import json
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from weftline.operators import tokens
 from weftline.plans import file_queries, stream_queries, token_queries
 from weftline.session import scratch_dir, scratch_path
 from weftline.sources import sinks
@@ -65,3 +67,12 @@ def test_a_quarter_of_the_stream_is_written_by_many_tasks(spark, tmp_path):
     (path,) = set(glob.glob(f"{scratch_dir(spark)}/stream-pack-*")) - before
     assert all(len(glob.glob(f"{path}/in/{i}/*.parquet")) > 1 for i in range(4))
     assert len(glob.glob(f"{path}/out/done/epoch=*")) == 4
+
+
+def test_a_tokenizer_gives_ids_away_before_its_batch_ends(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "ENCODED_IDS", 10)
+    texts = ["abc", None, "", "d" * 25, "efgh"]
+    encode = tokens.tokenizer_udf(token_queries.byte_tokenizer).func
+    pieces = list(encode(iter([pa.array(texts), pa.array([], pa.string())])))
+    assert [len(p) for p in pieces] == [4, 1]
+    assert pa.chunked_array(pieces).to_pylist() == [None if t is None else list(t.encode()) for t in texts]

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,6 +21,9 @@ SPACE = 32
 BROADCAST_WORDS = 250_000
 BROADCAST_WORD_BYTES = 128
 
+# Ids that a Python tokenizer gathers before they leave the worker.
+ENCODED_IDS = 1 << 20
+
 
 def byte_tokens(text: Column) -> Column:
     """The UTF-8 bytes of the text as ``array<int>``, in the JVM.
@@ -175,18 +179,36 @@ def tokenizer_udf(load: Callable[[], Callable[[str], list[int]]]):
     """A column function for any Python tokenizer.
 
     ``load`` builds the tokenizer and runs once per task, so a large model is not
-    pickled with the plan; texts come in Arrow batches.
+    pickled with the plan; texts come in Arrow batches. Ids leave as soon as there are
+    ``ENCODED_IDS`` of them, so that memory does not depend on the texts of a batch.
     """
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = load()
         for texts in batches:
-            yield texts.map(tokenizer, na_action="ignore")
+            held, ends, size = [], [0], 0
+            for text in texts:
+                ids = np.asarray(tokenizer(text.as_py()), np.int32) if text.is_valid else None
+                held.append(ids)
+                size += 0 if ids is None else len(ids)
+                ends.append(size)
+                if size >= ENCODED_IDS:
+                    yield _id_lists(held, ends)
+                    held, ends, size = [], [0], 0
+            if held:
+                yield _id_lists(held, ends)
 
     return encode
 
 
+def _id_lists(held: list[np.ndarray | None], ends: list[int]) -> pa.Array:
+    ids = [a for a in held if a is not None]
+    values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+    nulls = pa.array([a is None for a in held])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()), mask=nulls)
+
+
 def words_of(text: Column) -> Column:
     return F.split(text, " ")
 
