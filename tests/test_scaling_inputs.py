@@ -76,3 +76,18 @@ def test_a_tokenizer_gives_ids_away_before_its_batch_ends(spark, monkeypatch):
     pieces = list(encode(iter([pa.array(texts), pa.array([], pa.string())])))
     assert [len(p) for p in pieces] == [4, 1]
     assert pa.chunked_array(pieces).to_pylist() == [None if t is None else list(t.encode()) for t in texts]
+
+
+def test_shards_are_shuffled_in_fewer_bytes(spark):
+    rows = [
+        (1, [0, 255, 256], [0, 255, 256]), (2, [-(1 << 15), (1 << 15) - 1], [7]), (3, [1 << 15, None], [1 << 15, None]),
+        (4, None, [1 << 20]), (5, [], None), (6, None, None), (7, [None], [None, 1]),
+    ]
+    df = spark.createDataFrame(rows, "k long, input_ids array<int>, labels array<int>")
+    narrow = sinks._narrowed(df)
+    kept = {r["k"]: r for r in narrow.collect()}
+    assert (kept[1]["_short_input_ids"], kept[1]["input_ids"], kept[1]["labels"], kept[1]["_short_labels"]) == ([0, 255, 256], None, None, None)
+    assert (kept[3]["_short_input_ids"], kept[3]["labels"]) == (None, None)
+    whole = sinks._widened(narrow, df.columns)
+    assert whole.dtypes == df.dtypes
+    assert sorted(map(tuple, whole.collect())) == rows
