@@ -8,7 +8,7 @@ import json
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from weftline.operators import tokens
+from weftline.operators import split, tokens
 from weftline.plans import file_queries, stream_queries, token_queries
 from weftline.session import scratch_dir, scratch_path
 from weftline.sources import sinks
@@ -101,3 +101,14 @@ def test_packed_rows_are_written_as_compressed_json(spark, tmp_path):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
     (path,) = set(glob.glob(f"{scratch_dir(spark)}/packed-json-*")) - before
     assert glob.glob(f"{path}/*.json.gz") and not glob.glob(f"{path}/*.json")
+
+
+def test_a_split_by_a_key_of_several_columns(spark):
+    rows = [(p, b, i, f"{p}{b}{i}") for p in "ab" for b in (0, 1 << 40) for i in range(25)] + [("a", 0, 3, "again")] * 3
+    df = spark.createDataFrame(rows, "path string, block long, row long, text string")
+    df = df.select(F.struct("path", "block", "row").alias("place"), "text")
+    for n in (0, 3, 5, 40, 103):
+        parts = split.split_sequential(df, "place", n / 103 + 1e-9).collect()
+        train = sorted(tuple(r["place"]) for r in parts if r["split"] == "train")
+        assert train == sorted(r[:3] for r in rows)[:n]
+        assert len(parts) == 103

@@ -18,6 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from weftline.session import materialize
 
@@ -226,6 +227,14 @@ def key_at_rank(
     )
 
 
+def _literal(value, kind: DataType) -> Column:
+    """A key as a constant; a key of several columns is a struct."""
+    if isinstance(kind, StructType) and value is not None:
+        fields = [_literal(v, f.dataType).alias(f.name) for v, f in zip(value, kind.fields, strict=True)]
+        return F.struct(*fields)
+    return F.lit(value).cast(kind)
+
+
 def _is_before(key: str, value: Column) -> Column:
     return (F.col(key).isNull() & value.isNotNull()) | F.coalesce(F.col(key) < value, F.lit(False))
 
@@ -245,7 +254,7 @@ def first_part(
         cut = numbers.filter(F.col("_at") == n).first()
     if cut is None:
         return df.withColumn(name, F.lit(True))
-    value = F.lit(cut["cut"]).cast(df.schema[key].dataType)
+    value = _literal(cut["cut"], df.schema[key].dataType)
     before, same = _is_before(key, value), F.col(key).eqNullSafe(value)
     inside = n - df.filter(before).count()
     if not inside:

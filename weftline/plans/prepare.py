@@ -11,7 +11,7 @@ from weftline.functions.text import text_hash
 from weftline.operators.dedup import first_of_hash
 from weftline.operators.mix import TICKS, interleave
 from weftline.operators.pack import pack_batches
-from weftline.operators.ranks import BUCKET_ROWS, dense_position, div, with_rank
+from weftline.operators.ranks import BUCKET_ROWS, div, with_rank
 from weftline.operators.select import require_rows
 from weftline.operators.split import distributed_sampler, split_sequential
 from weftline.operators.tokens import EOS, ArrayTokens, ByteTokens, byte_count
@@ -67,10 +67,11 @@ def _convert(
     # parsed once; the steps below see the texts alone
     parsed = materialize(ingest_mixed_dir(spark, directory, column, recursive, skip=skip), "texts")
     texts = require_rows(parsed, f"no supported files with text in {directory}")
-    corpus = dense_position(texts, ORDER, "pos")
-    write_jsonl(in_order(corpus, "pos"), f"{output}/data", mode="overwrite")
+    # the place of a text is its key: numbers would cost one more shuffle of the texts
+    corpus = texts.select(F.struct(*ORDER).alias("place"), "text")
+    write_jsonl(in_order(corpus, "place"), f"{output}/data", mode="overwrite")
     if train_ratio is not None:
-        write_split(split_sequential(corpus, "pos", train_ratio), f"{output}/splits", order="pos")
+        write_split(split_sequential(corpus, "place", train_ratio), f"{output}/splits", order="place")
 
 
 def convert_file(

@@ -93,5 +93,5 @@ def temporary_scratch(spark: SparkSession) -> Iterator[None]:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back, which cuts the lineage."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
