@@ -78,6 +78,23 @@ def test_a_tokenizer_gives_ids_away_before_its_batch_ends(spark, monkeypatch):
     assert pa.chunked_array(pieces).to_pylist() == [None if t is None else list(t.encode()) for t in texts]
 
 
+def test_of_the_words_only_the_different_ones_of_a_block_move(spark):
+    texts = [(1, "a b a"), (1, "a b a"), (2, None), (3, ""), (None, " b  zz"), (4, "a\nb")]
+    docs = spark.createDataFrame(texts, "k long, text string")
+    vocab = spark.createDataFrame([("a", 0), ("b", 1), ("", 2), ("x" * 200, 3)], "word string, id long")
+    for head in (0, 1, 10):
+        ids = tokens.tokenize_vocab(docs, vocab, "k", broadcast_words=head)
+        assert "posexplode" not in ids._jdf.queryExecution().toString()
+        found = sorted(map(tuple, ids.collect()), key=str)
+        assert found == sorted([(1, [0, 1, 0]), (1, [0, 1, 0]), (2, []), (3, [2]), (None, [2, 1, 2]), (4, [])], key=str)
+        coded = tokens.tokenize_vocab(docs, vocab, "k", unknown=-1, broadcast_words=head).filter("k is null")
+        assert coded.first()["ids"] == [2, 1, 2, -1]
+        back = tokens.detokenize_vocab(ids, vocab, "k", broadcast_words=head)
+        assert "posexplode" not in back._jdf.queryExecution().toString()
+        expected = [(1, "a b a"), (1, "a b a"), (2, ""), (3, ""), (None, " b "), (4, "")]
+        assert sorted(map(tuple, back.collect()), key=str) == sorted(expected, key=str)
+
+
 def test_shards_are_shuffled_in_fewer_bytes(spark):
     rows = [
         (1, [0, 255, 256], [0, 255, 256]), (2, [-(1 << 15), (1 << 15) - 1], [7]), (3, [1 << 15, None], [1 << 15, None]),

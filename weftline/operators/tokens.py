@@ -6,9 +6,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from weftline.operators.ranks import dense_position
 
@@ -21,6 +22,9 @@ SPACE = 32
 BROADCAST_WORDS = 250_000
 BROADCAST_WORD_BYTES = 128
 
+# Blocks of rows to a partition of a shuffle.
+BLOCKS = 16
+
 # Ids that a Python tokenizer gathers before they leave the worker.
 ENCODED_IDS = 1 << 20
 
@@ -189,7 +193,8 @@ def tokenizer_udf(load: Callable[[], Callable[[str], list[int]]]):
         for texts in batches:
             held, ends, size = [], [0], 0
             for text in texts:
-                ids = np.asarray(tokenizer(text.as_py()), np.int32) if text.is_valid else None
+                ids = tokenizer(text.as_py()) if text.is_valid else None
+                ids = None if ids is None else np.asarray(ids, np.int32)
                 held.append(ids)
                 size += 0 if ids is None else len(ids)
                 ends.append(size)
@@ -228,26 +233,48 @@ def build_vocab(df: DataFrame, text: str = "text") -> DataFrame:
     return dense_position(counts, [F.col("n").desc(), F.col("word")], "id")
 
 
-def _look_up(
-    rows: DataFrame, vocab: DataFrame, on: str, value: str, broadcast_words: int
+def _answered(
+    dealt: DataFrame, asked: Column, vocab: DataFrame, key: str, on: str, value: str, broadcast_words: int
 ) -> DataFrame:
-    """Left join of ``rows`` with ``vocab`` on ``on`` that adds ``value``.
+    """``(_asked, on, value)`` for the different words that a block of ``dealt`` has and ``vocab`` knows.
 
     The most frequent words (the lowest ids) of ordinary length are broadcast, which
     bounds that table whatever the vocabulary's size. Only what is not among them is
-    joined by a shuffle; those words are rare, so no join key is hot.
+    joined by a shuffle; a word is asked for once in a block, so no join key is hot.
     """
+    # the key is counted, and empty rows are kept, so that the rows are shuffled as they are and once for both uses
+    words = dealt.select("_block", key, F.explode_outer(asked).alias(on))
+    words = words.groupBy("_block", on).agg(F.count(key).alias("_n")).filter("_n >= 0")
+    words = words.select(F.col("_block").alias("_asked"), on)
     in_head = (F.col("id") < broadcast_words) & (
         F.octet_length("word") <= BROADCAST_WORD_BYTES
     )
     head = vocab.filter(in_head).select(on, value)
     rest = vocab.filter(~in_head).select(on, value)
-    looked_up = rows.join(F.broadcast(head), on, "left")
-    if rest.isEmpty():
-        return looked_up
+    looked_up = words.join(F.broadcast(head), on, "left")
     found = looked_up.filter(F.col(value).isNotNull())
+    if rest.isEmpty():
+        return found
     others = looked_up.filter(F.col(value).isNull()).drop(value)
-    return found.unionByName(others.join(rest, on, "left"))
+    return found.unionByName(others.join(rest, on))
+
+
+def _dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt to blocks, of which a task holds one at a time."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    block = F.pmod(F.xxhash64(*df.columns), F.lit(parts * BLOCKS)).cast("int")
+    return df.withColumn("_block", block).repartition("_block")
+
+
+def _replaced(lists: pa.Array, known: pa.Array, values: pa.Array, unknown: int | None = None) -> pa.ListArray:
+    """Lists with the value of each element that is known; others are ``unknown`` or left out."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    found = pc.take(values, pc.index_in(lists.flatten(), value_set=known))
+    if unknown is not None:
+        found = pc.fill_null(found, pa.scalar(unknown, found.type))
+    kept = np.concatenate([[0], np.cumsum(found.is_valid().to_numpy(zero_copy_only=False), dtype=np.int64)])
+    return pa.ListArray.from_arrays(pa.array(kept[ends], pa.int32()), found.drop_null())
 
 
 def tokenize_vocab(
@@ -263,26 +290,18 @@ def tokenize_vocab(
     Words that are not there get ``unknown``, or are left out when it is None. A null text
     has no ids. Every row has a row, also where keys repeat.
     """
-    # the texts move once; their words are then brought together where they are
-    texts, row = _apart(df.select(key, text), key, text)
-    words = texts.select(*row, F.posexplode_outer(words_of(F.col(text))).alias("_at", "word"))
-    coded = _look_up(words, vocab, "word", "id", broadcast_words)
-    code = F.coalesce("id", F.lit(unknown))
-    pair = F.struct("_at", code.cast("int").alias("id"))
-    is_word = F.col("_at").isNotNull() & code.isNotNull()
-    pairs = F.array_sort(F.collect_list(F.when(is_word, pair)))
-    return (
-        coded.groupBy(*row)
-        .agg(pairs.alias("_pairs"))
-        .select(key, F.col("_pairs.id").alias("ids"))
-    )
+    # the texts move once, to their block; of the words only the different ones of a block move
+    dealt = _dealt(df.select(F.col(key), F.col(text)))
+    vocab = vocab.withColumn("id", F.col("id").cast("int"))
+    answers = _answered(dealt, words_of(F.col(text)), vocab, key, "word", "id", broadcast_words)
 
+    def code(rows: pa.Table, known: pa.Table) -> pa.Table:
+        words = pc.split_pattern(rows.column(text).combine_chunks(), " ")
+        ids = _replaced(words, known.column("word").combine_chunks(), known.column("id").combine_chunks(), unknown)
+        return pa.table({key: rows.column(key), "ids": ids})
 
-def _apart(df: DataFrame, key: str, value: str) -> tuple[DataFrame, list[str]]:
-    """Rows dealt by key and value, and the columns that name a row; equal rows are numbered."""
-    dealt = df.withColumn("_same", F.xxhash64(value)).repartition(key, "_same")
-    copies = W.partitionBy(key, "_same").orderBy(F.lit(0))
-    return dealt.withColumn("_copy", F.row_number().over(copies)), [key, "_same", "_copy"]
+    schema = StructType([df.schema[key], StructField("ids", ArrayType(IntegerType()))])
+    return dealt.groupBy("_block").cogroup(answers.groupBy("_asked")).applyInArrow(code, schema)
 
 
 def detokenize_vocab(
@@ -292,13 +311,13 @@ def detokenize_vocab(
 
     No ids give an empty text. Every row has a row, also where keys repeat.
     """
-    rows, row = _apart(df.select(key, "ids"), key, "ids")
-    tokens = rows.select(*row, F.posexplode_outer("ids").alias("_at", "id"))
+    dealt = _dealt(df.select(key, F.col("ids").cast("array<int>").alias("ids")))
     vocab = vocab.withColumn("id", F.col("id").cast("int"))
-    words = _look_up(tokens, vocab, "id", "word", broadcast_words)
-    pair = F.when(F.col("word").isNotNull(), F.struct("_at", "word"))
-    return (
-        words.groupBy(*row)
-        .agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
-        .select(key, F.array_join("_pairs.word", " ").alias("text"))
-    )
+    answers = _answered(dealt, F.col("ids"), vocab, key, "id", "word", broadcast_words)
+
+    def spell(rows: pa.Table, known: pa.Table) -> pa.Table:
+        words = _replaced(rows.column("ids").combine_chunks(), known.column("id").combine_chunks(), known.column("word").combine_chunks())
+        return pa.table({key: rows.column(key), "text": pc.binary_join(words, " ")})
+
+    schema = StructType([df.schema[key], StructField("text", StringType())])
+    return dealt.groupBy("_block").cogroup(answers.groupBy("_asked")).applyInArrow(spell, schema)
