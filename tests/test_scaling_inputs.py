@@ -6,12 +6,14 @@ import glob
 import json
 
 import pyarrow as pa
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from weftline.operators import split, tokens
 from weftline.plans import file_queries, stream_queries, token_queries
 from weftline.session import scratch_dir, scratch_path
 from weftline.sources import sinks
+from weftline.streaming import jobs
 
 
 def documents(spark, tmp_path, rows, parts=1):
@@ -129,3 +131,22 @@ def test_a_split_by_a_key_of_several_columns(spark):
         train = sorted(tuple(r["place"]) for r in parts if r["split"] == "train")
         assert train == sorted(r[:3] for r in rows)[:n]
         assert len(parts) == 103
+
+
+def test_early_stop_takes_plain_rows():
+    class Held:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    run = jobs._EarlyStop(2, 0.5)
+    run.state = Held()
+    first = [Row(step=s, loss=x, counts=c) for s, x, c in ((3, 5.0, True), (1, 6.0, True), (2, 0.0, False))]
+    (row,) = run.handleInputRows((None,), iter(first), None)
+    assert tuple(row) == (None, 2, None, None)
+    (row,) = run.handleInputRows((None,), iter([Row(step=s, loss=5.0, counts=True) for s in (9, 8)]), None)
+    assert row.asDict() == {"by0": None, "seen": 4, "stop_index": 3, "stop_step": 9}

@@ -8,10 +8,9 @@ the stored position.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from operator import itemgetter
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -161,14 +160,11 @@ class _EarlyStop(StatefulProcessor):
         fields = "seen long, best double, misses int, stop_index long, stop_step long"
         self.state = handle.getValueState("run", fields)
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        held = self.state.get() if self.state.exists() else (0, None, 0, None, None)
-        seen, best, misses, stop_index, stop_step = held
-        new = pd.concat(list(rows))
-        new = new[new["counts"]].sort_values("step", kind="stable")
-        steps, losses = new["step"].tolist(), new["loss"].to_numpy(np.float64)
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timers) -> Iterator[Row]:
+        seen, best, misses, stop_index, stop_step = self.state.get() or (0, None, 0, None, None)
+        new = sorted(((r.step, r.loss) for r in rows if r.counts), key=itemgetter(0))
         if stop_index is None:
-            for at, (step, loss) in enumerate(zip(steps, losses.tolist(), strict=True)):
+            for at, (step, loss) in enumerate(new):
                 # as in SQL, what is not a number is above any loss
                 if best is not None and best == best and not loss <= best - self.min_delta:
                     misses += 1
@@ -177,12 +173,10 @@ class _EarlyStop(StatefulProcessor):
                         break
                 else:
                     best, misses = loss, 0
-        seen += len(steps)
+        seen += len(new)
         self.state.update((seen, best, misses, stop_index, stop_step))
-        names = [f"by{i}" for i in range(len(key))]
-        row = [*key, seen, stop_index, stop_step]
-        out = pd.DataFrame([row], columns=[*names, "seen", "stop_index", "stop_step"])
-        yield out.astype({"seen": "Int64", "stop_index": "Int64", "stop_step": "Int64"})
+        runs = {f"by{i}": value for i, value in enumerate(key)}
+        yield Row(**runs, seen=seen, stop_index=stop_index, stop_step=stop_step)
 
     def close(self) -> None:
         pass
@@ -212,7 +206,7 @@ def stream_early_stop(
         F.coalesce(F.col(loss).cast("double"), F.lit(0.0)).alias("loss"), F.col(loss).isNotNull().alias("counts"),
     )
     types = ", ".join(f"{n} {slim.schema[n].dataType.simpleString()}" for n in keys)
-    found = slim.groupBy(*keys).transformWithStateInPandas(
+    found = slim.groupBy(*keys).transformWithState(
         _EarlyStop(patience, min_delta), f"{types}, seen long, stop_index long, stop_step long", "Append", "None"
     )
     return found.select(*[F.col(n).alias(c) for n, c in zip(keys, by, strict=True)], "seen", "stop_index", "stop_step")
