@@ -3,7 +3,8 @@
 Words are runs without white space, taken as they are; their n-grams of bytes include one
 blank on either side; a word that repeats the one before it is a feature of its own. Every feature has a learned vector in a hashed table, a text is the
 mean of its features' vectors, and a softmax layer gives the classes. Training is
-stochastic gradient descent in numpy on a bounded sample of labelled rows.
+stochastic gradient descent in numpy on a bounded sample of labelled rows, whose features
+come to the driver piece by piece and lie there in files: its memory holds a piece, the model and a few numbers a row.
 
 A null or empty text has no feature; its score is the share of the last class among the
 training rows, as is every score when there was nothing to train on. Repeated rows are
@@ -12,7 +13,10 @@ answered one by one; columns but the key and the text are not read.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
+from tempfile import TemporaryFile
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +27,8 @@ from weftline.llm.blocks import Rolling, raw_bytes, runs, slices, solid_flags, s
 
 #: Training takes about this many labelled rows at most, picked by a hash of the key.
 SAMPLE = 5000
+#: Rows whose features go to the driver at once, each with 6 bytes a bucket at most.
+PIECE = 64
 BUCKET_BITS = 17
 DIM = 8
 WIDTHS = (3, 4, 5)
@@ -100,12 +106,20 @@ def _training_rows(batches):
 def sampled(labelled: DataFrame, key: str, sample: int) -> DataFrame:
     """About ``sample`` rows at most, by a hash of the key; adds the hash as ``place``.
 
-    Where keys repeat, the first rows by hash of key and text count.
+    Where keys repeat, the first rows by hash of key and text count. A partition has about PIECE rows.
     """
     marked = labelled.withColumn("place", F.xxhash64(key))
     rows = max(1, marked.count())
     share = F.col("place").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
-    return marked.where(share * rows < sample).orderBy("place", F.xxhash64("text")).limit(2 * sample)
+    picked = marked.where(share * rows < sample).orderBy("place", F.xxhash64("text")).limit(2 * sample)
+    return picked.repartition(-(-min(rows, sample) // PIECE))
+
+
+def _mapped(file: BinaryIO, kind: str) -> np.ndarray:
+    """What was written to the file, as an array that is read from it when used."""
+    size = file.tell()
+    file.flush()
+    return np.asarray(np.memmap(file, kind, "r")) if size else np.zeros(0, kind)
 
 
 def learn_quality(
@@ -115,16 +129,25 @@ def learn_quality(
     known = labelled.select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")
     ).where("text is not null and label in (0, 1)")
-    rows = (
-        sampled(known, "key", sample).select("place", "text", "label")
-        .mapInArrow(_training_rows, "place long, label int, ids binary, counts binary").collect()
-    )
-    rows.sort(key=lambda r: (r["place"], r["label"], bytes(r["ids"])))
-    return train(
-        [np.frombuffer(bytes(r["ids"]), "<i4") for r in rows],
-        [np.frombuffer(bytes(r["counts"]), "<u2").astype(np.float32) for r in rows],
-        np.array([r["label"] for r in rows], dtype=np.int64),
+    rows = sampled(known, "key", sample).select("place", "text", "label").mapInArrow(
+        _training_rows, "place long, label int, ids binary, counts binary"
     )
+    found, ends = [], [0]
+    with TemporaryFile() as ids, TemporaryFile() as counts:
+        # a job for each partition, so that no more than a piece is on its way
+        for r in rows.toLocalIterator():
+            ids.write(r["ids"])
+            counts.write(r["counts"])
+            digest = hashlib.blake2b(bytes(r["ids"]) + bytes(r["counts"]), digest_size=16).digest()
+            found.append((r["place"], r["label"], digest))
+            ends.append(ends[-1] + len(r["counts"]) // 2)
+        order = sorted(range(len(found)), key=found.__getitem__)
+        buckets, times = _mapped(ids, "<i4"), _mapped(counts, "<u2")
+        return train(
+            [buckets[ends[i] : ends[i + 1]] for i in order],
+            [times[ends[i] : ends[i + 1]] for i in order],
+            np.array([found[i][1] for i in order], dtype=np.int64),
+        )
 
 
 def train(ids: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray) -> SubwordClassifier:
@@ -143,7 +166,8 @@ def train(ids: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray) -
             done += 1
             if not len(ids[i]):
                 continue
-            weight = counts[i] / counts[i].sum()
+            times = counts[i].astype(np.float32)
+            weight = times / times.sum()
             rows = vectors[ids[i]]
             hidden = weight @ rows
             logits = hidden @ output + bias
