@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from weftline.operators import split, tokens
 from weftline.plans import file_queries, stream_queries, token_queries
 from weftline.session import scratch_dir, scratch_path
-from weftline.sources import sinks
+from weftline.sources import files, sinks
 from weftline.streaming import jobs
 
 
@@ -37,6 +37,56 @@ def test_files_are_dealt_to_a_bounded_number_of_folders(spark, tmp_path, monkeyp
     assert len(glob.glob(f"{tmp_path}/*/id=*.txt")) == 100
 
 
+def test_a_task_reads_many_small_files(spark, tmp_path):
+    path = f"{tmp_path}/a b%20ü"
+    sinks.write_each(spark.range(300).select("id", F.col("id").cast("string").alias("text")), path, "id", "text")
+    assert len(glob.glob(f"{path}/*/id=*.txt")) == 300
+    found = files.read_text_files(spark, path)
+    assert found.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism < 300 // 32
+    assert sorted(int(r["text"]) for r in found.collect()) == list(range(300))
+
+
+def odd_tree(root):
+    contents = {
+        "a.txt": b" a\r\nb\rc \n", "B.TXT": b"ab\xff\xc3c\xef\xbf\xbd", "blank.txt": " \n\u2003".encode(), "empty.txt": b"", "none": b"n",
+        "sp ace%20+.txt": b"1", "ü#?.txt": "ü".encode(), "sub/x=1/deep er/c.txt": b"c", "sub/x=1/d.csv": b"d", "[s]/{e}.txt": b"2",
+        "_h.txt": b"h", ".h.txt": b"h", "_k=v.txt": b"kv", "z.txt._COPYING_": b"z", "_tmp/t.txt": b"t", "_k=v/t.txt": b"t2",
+        "_metadata/m.txt": b"m", "_metadata.txt": b"m2", ".dot/t.txt": b"t3", "sub/long.txt": b"long" * 50,
+    }
+    for name, content in contents.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(content)
+
+
+def test_tasks_read_the_files_that_spark_reads(spark, tmp_path, monkeypatch):
+    root = tmp_path / "in %41 ö"
+    odd_tree(root)
+    names = spark.read.option("recursiveFileLookup", True).format("binaryFile").load(str(root))
+    names = {r["n"] for r in names.select(F.col("_metadata.file_path").alias("n")).collect()}
+    skip = [n for n in names if n.endswith(("ace%2520+.txt", "c.txt"))]
+    assert len(skip) == 2
+    calls = [{}, {"suffixes": (".txt",)}, {"skip": skip}, {"suffixes": (".csv", ".Txt"), "skip": skip}]
+    calls = [{"path": str(root), **c} for c in calls] + [{"path": f"{root}/sub/"}, {"path": f"file:{root}/sub/x=1"}]
+    monkeypatch.setattr(files, "PIECE_FILES", 2)
+    monkeypatch.setattr(files, "PIECE_BYTES", 100)
+    ours = [files.read_text_files(spark, **c) for c in calls]
+    monkeypatch.setattr(files, "_small_files", lambda *_: None)
+    sparks = [files.read_text_files(spark, **c) for c in calls]
+    for one, other in zip(ours, sparks, strict=True):
+        assert one.dtypes == other.dtypes
+        assert sorted(map(tuple, one.collect())) == sorted(map(tuple, other.collect()))
+    assert [len(other.collect()) for other in sparks] == [12, 10, 10, 9, 3, 2]
+    assert any(r["text"] == "long" * 50 for r in ours[0].collect())
+
+
+def test_paths_that_are_no_folder_go_to_spark(spark, tmp_path):
+    odd_tree(tmp_path)
+    assert [r["text"] for r in files.read_text_files(spark, f"{tmp_path}/a.txt").collect()] == ["a\nb\nc"]
+    assert sorted(r["text"] for r in files.read_text_files(spark, f"{tmp_path}/[aB].*").collect()) == ["a\nb\nc", "abc\ufffd"]
+    (tmp_path / "new").mkdir()
+    assert files.read_text_files(spark, f"{tmp_path}/new").collect() == []
+
+
 def test_arrays_of_bounded_files_keep_the_numbers_of_their_items(spark, tmp_path):
     rows = [(i * 3, f"text {i}, \"quoted\" [" + "x" * (i % 7)) for i in range(100)]
     docs = spark.read.parquet(documents(spark, tmp_path, rows) + "/documents.parquet")

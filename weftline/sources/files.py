@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import gzip
 import zlib
-from collections.abc import Callable, Iterable, Mapping, Sequence
-from functools import partial
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from functools import partial, reduce
+from urllib.parse import unquote
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,7 @@ from weftline.operators.select import (
 )
 from weftline.session import materialize
 from weftline.sources import ranges
+from weftline.sources.stores import arrow_uri
 
 ORDER = ["path", "block", "row", "item"]
 COLUMNS = [*ORDER, "text"]
@@ -43,6 +46,9 @@ MIB = 1 << 20
 #: Spark holds no longer string, so no larger file is read as one value.
 WHOLE_BYTES = (1 << 31) - 1
 DAMAGED = 10_000
+#: Of small files, what a row of a listing names at most, and what a task reads, about.
+PIECE_FILES, PIECE_BYTES = 256, 64 * MIB
+TASK_FILES, TASK_BYTES = 64 * PIECE_FILES, 128 * MIB
 
 
 def suffix_glob(suffixes: Iterable[str]) -> str:
@@ -138,17 +144,137 @@ def read_text_files(
     recursive: bool = True,
     skip: Sequence[str] = (),
 ) -> DataFrame:
-    """One document per file: malformed UTF-8 dropped, stripped, blank files left out."""
-    files = _reader(spark, suffixes, recursive).format("binaryFile").load(path)
-    files = _kept(files, skip)
+    """One document per file: malformed UTF-8 dropped, stripped, blank files left out.
+
+    Below a folder that Arrow can open, tasks list the folders and read the files, many of them each;
+    Spark's reader would list all on the driver, with a task for every 32 files. It takes
+    files above 64 MiB, and other paths.
+    """
+    files = _small_files(spark, path, suffixes, skip) if recursive else None
+    if files is None:
+        files = _whole_files(spark, path, suffixes, recursive, skip)
     text = strip(universal_newlines(decode_utf8_ignore(F.col("content"))))
     zero = F.lit(0).cast("bigint")
+    # a generator, so that the filter does not decode a second time
     return files.select(
-        "path", zero.alias("block"), zero.alias("row"), F.lit(0).cast("bigint").alias("item"),
-        text.alias("text"),
+        "path", zero.alias("block"), zero.alias("row"), zero.alias("item"), F.explode(F.array(text)).alias("text")
     ).filter("text <> ''")
 
 
+def _whole_files(
+    spark: SparkSession, path: str, suffixes: Iterable[str] | None, recursive: bool, skip: Sequence[str]
+) -> DataFrame:
+    """``(path, content)`` of files, by Spark's reader."""
+    files = _kept(_reader(spark, suffixes, recursive).format("binaryFile").load(path), skip)
+    return files.select("path", "content", F.col("_metadata.file_size").alias("size"))
+
+
+def _small_files(
+    spark: SparkSession, path: str, suffixes: Iterable[str] | None, skip: Sequence[str]
+) -> DataFrame | None:
+    """``(path, content)`` of all files below a folder, or None where Arrow finds no folder."""
+    found = None if set("{}[]*?\\") & set(path) else arrow_uri(spark, path)
+    if found is None or not _is_folder(found[1]):
+        return None
+    shown, uri = found
+    pieces = _listed(spark, shown, uri, suffixes, skip)
+    rows, files, size, largest = pieces.agg(
+        F.count("*"), F.sum(F.size("names")), F.sum("bytes"), F.max("bytes")
+    ).first()
+
+    def read(batches):
+        store, root = pafs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for folder, names in zip(*(batch.column(c).to_pylist() for c in ("folder", "names")), strict=True):
+                contents = []
+                for name in names:
+                    with store.open_input_file(_below(root, folder, name)) as file:
+                        contents.append(file.read())
+                paths = [_below(shown, folder, name) for name in names]
+                yield pa.RecordBatch.from_pydict({"path": paths, "content": pa.array(contents, pa.binary())})
+
+    tasks = max(1, min(rows, spark.sparkContext.defaultParallelism), -(-(files or 0) // TASK_FILES), -(-(size or 0) // TASK_BYTES))
+    small = pieces.filter(F.col("bytes") <= PIECE_BYTES).repartition(tasks)
+    held = small.mapInArrow(read, "path string, content binary")
+    if (largest or 0) <= PIECE_BYTES:
+        return held
+    large = _whole_files(spark, path, suffixes, True, skip).filter(F.col("size") > PIECE_BYTES)
+    return held.unionByName(large.drop("size"))
+
+
+def _is_folder(uri: str) -> bool:
+    try:
+        store, root = pafs.FileSystem.from_uri(uri)
+        return store.get_file_info(root).type == pafs.FileType.Directory
+    except (pa.ArrowException, OSError):
+        return False
+
+
+def _below(root: str, *parts: str) -> str:
+    return "/".join([root.rstrip("/"), *(part for part in parts if part)])
+
+
+def _hidden(name: str, folder: bool) -> bool:
+    """Names that Spark's listing passes over."""
+    if folder and name.startswith(("_metadata", "_common_metadata")):
+        return False
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
+def _pieces(found: Iterable[pafs.FileInfo], files: int, size: int) -> Iterator[tuple[list[str], int]]:
+    """Names and bytes of so many files at most, and so many bytes but for a larger file alone."""
+    names, held = [], 0
+    for info in found:
+        if names and (len(names) == files or held + info.size > size):
+            yield names, held
+            names, held = [], 0
+        names.append(info.base_name)
+        held += info.size
+    if names:
+        yield names, held
+
+
+def _listed(
+    spark: SparkSession, shown: str, uri: str, suffixes: Iterable[str] | None, skip: Sequence[str]
+) -> DataFrame:
+    """``(folder, names, bytes)``: the files below a folder in pieces, listed by tasks, a level of folders at a time."""
+    endings = tuple(s.lower() for s in suffixes) if suffixes else ("",)
+    skipped = {unquote(name).replace("file:///", "file:/", 1) for name in skip}
+    schema = "folder string, names array<string>, bytes long"
+    kinds = pa.schema([("folder", pa.string()), ("names", pa.list_(pa.string())), ("bytes", pa.int64())])
+
+    def rows(store, root, folder):
+        found = store.get_file_info(pafs.FileSelector(_below(root, folder)))
+        found = sorted(found, key=lambda info: info.base_name)
+        for info in found:
+            if info.type == pafs.FileType.Directory and not _hidden(info.base_name, True):
+                yield f"{folder}/{info.base_name}".lstrip("/"), None, None
+        wanted = (
+            info for info in found
+            if info.is_file and info.size and not _hidden(info.base_name, False)
+            and info.base_name.lower().endswith(endings) and _below(shown, folder, info.base_name) not in skipped
+        )
+        for names, size in _pieces(wanted, PIECE_FILES, PIECE_BYTES):
+            yield folder, names, size
+
+    def listing(batches):
+        store, root = pafs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                all_rows = list(rows(store, root, folder))
+                for at in range(0, len(all_rows), 1000):
+                    columns = zip(*all_rows[at : at + 1000], strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(columns, kinds, strict=True)], schema=kinds)
+
+    tasks = spark.sparkContext.defaultParallelism
+    folders, levels = spark.range(1).select(F.lit("").alias("folder")), []
+    while not levels or not folders.isEmpty():
+        level = materialize(folders.repartition(tasks).mapInArrow(listing, schema), "listing")
+        levels.append(level.filter("names is not null"))
+        folders = level.filter("names is null").select("folder")
+    return reduce(DataFrame.unionByName, levels)
+
+
 def _csv_records(lines: DataFrame, delimiter: str) -> tuple[DataFrame, DataFrame]:
     """Records ``(path, record, value)`` that may hold quoted line breaks, and ``(path, header)``."""
     csv = ranges.CsvLines(delimiter)

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from weftline.sources.stores import arrow_uri
+
 TOKEN_BYTES = 4
 #: Folders that ``write_each`` deals its files to.
 FOLDERS = 1024
@@ -117,15 +119,11 @@ def write_each(df: DataFrame, path: str, key: str, text: str) -> None:
     of rights for each. Names depend on keys and partitions alone, so that a task which runs again
     replaces its files. A store that Arrow does not know is written by Spark, rows of one key together.
     """
-    spark = df.sparkSession
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    uri = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
-    uri = uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
-    try:
-        pafs.FileSystem.from_uri(uri)
-    except (pa.ArrowException, OSError):
+    found = arrow_uri(df.sparkSession, path)
+    if found is None:
         df.select(key, text).write.partitionBy(key).text(path)
         return
+    _, uri = found
 
     def write(batches):
         store, root = pafs.FileSystem.from_uri(uri)
