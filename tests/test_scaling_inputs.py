@@ -6,6 +6,7 @@ import glob
 import json
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -87,6 +88,18 @@ def test_paths_that_are_no_folder_go_to_spark(spark, tmp_path):
     assert files.read_text_files(spark, f"{tmp_path}/new").collect() == []
 
 
+def test_check_sums_beside_text_files_are_compared(spark, tmp_path):
+    path = f"{tmp_path}/written"
+    spark.createDataFrame([("some text",)], "text string").coalesce(1).write.text(path)
+    assert glob.glob(f"{path}/.part-*.crc")
+    assert [r["text"] for r in files.read_text_files(spark, str(tmp_path)).collect()] == ["some text"]
+    (part,) = glob.glob(f"{path}/part-*")
+    with open(part, "w") as out:
+        out.write("other one\n")
+    with pytest.raises(Exception, match="[Cc]hecksum"):
+        files.read_text_files(spark, str(tmp_path)).collect()
+
+
 def test_arrays_of_bounded_files_keep_the_numbers_of_their_items(spark, tmp_path):
     rows = [(i * 3, f"text {i}, \"quoted\" [" + "x" * (i % 7)) for i in range(100)]
     docs = spark.read.parquet(documents(spark, tmp_path, rows) + "/documents.parquet")

@@ -148,7 +148,7 @@ def read_text_files(
 
     Below a folder that Arrow can open, tasks list the folders and read the files, many of them each;
     Spark's reader would list all on the driver, with a task for every 32 files. It takes
-    files above 64 MiB, and other paths.
+    files above 64 MiB, other paths, and folders with check sums beside the files, which it compares.
     """
     files = _small_files(spark, path, suffixes, skip) if recursive else None
     if files is None:
@@ -172,15 +172,17 @@ def _whole_files(
 def _small_files(
     spark: SparkSession, path: str, suffixes: Iterable[str] | None, skip: Sequence[str]
 ) -> DataFrame | None:
-    """``(path, content)`` of all files below a folder, or None where Arrow finds no folder."""
+    """``(path, content)`` of all files below a folder, or None where Arrow finds no folder, or check sums."""
     found = None if set("{}[]*?\\") & set(path) else arrow_uri(spark, path)
     if found is None or not _is_folder(found[1]):
         return None
     shown, uri = found
     pieces = _listed(spark, shown, uri, suffixes, skip)
-    rows, files, size, largest = pieces.agg(
-        F.count("*"), F.sum(F.size("names")), F.sum("bytes"), F.max("bytes")
+    rows, files, size, largest, checked = pieces.agg(
+        F.count("*"), F.sum(F.size("names")), F.sum("bytes"), F.max("bytes"), F.max("checked")
     ).first()
+    if checked:
+        return None
 
     def read(batches):
         store, root = pafs.FileSystem.from_uri(uri)
@@ -237,25 +239,31 @@ def _pieces(found: Iterable[pafs.FileInfo], files: int, size: int) -> Iterator[t
 def _listed(
     spark: SparkSession, shown: str, uri: str, suffixes: Iterable[str] | None, skip: Sequence[str]
 ) -> DataFrame:
-    """``(folder, names, bytes)``: the files below a folder in pieces, listed by tasks, a level of folders at a time."""
+    """``(folder, names, bytes, checked)``: the files below a folder in pieces, and if any has a check sum beside it.
+
+    Tasks list a level of folders at a time.
+    """
     endings = tuple(s.lower() for s in suffixes) if suffixes else ("",)
     skipped = {unquote(name).replace("file:///", "file:/", 1) for name in skip}
-    schema = "folder string, names array<string>, bytes long"
-    kinds = pa.schema([("folder", pa.string()), ("names", pa.list_(pa.string())), ("bytes", pa.int64())])
+    schema = "folder string, names array<string>, bytes long, checked boolean"
+    kinds = pa.schema([
+        ("folder", pa.string()), ("names", pa.list_(pa.string())), ("bytes", pa.int64()), ("checked", pa.bool_())
+    ])
 
     def rows(store, root, folder):
         found = store.get_file_info(pafs.FileSelector(_below(root, folder)))
         found = sorted(found, key=lambda info: info.base_name)
         for info in found:
             if info.type == pafs.FileType.Directory and not _hidden(info.base_name, True):
-                yield f"{folder}/{info.base_name}".lstrip("/"), None, None
+                yield f"{folder}/{info.base_name}".lstrip("/"), None, None, None
         wanted = (
             info for info in found
             if info.is_file and info.size and not _hidden(info.base_name, False)
             and info.base_name.lower().endswith(endings) and _below(shown, folder, info.base_name) not in skipped
         )
+        sums = {info.base_name for info in found if info.base_name.endswith(".crc")}
         for names, size in _pieces(wanted, PIECE_FILES, PIECE_BYTES):
-            yield folder, names, size
+            yield folder, names, size, any(f".{name}.crc" in sums for name in names)
 
     def listing(batches):
         store, root = pafs.FileSystem.from_uri(uri)
